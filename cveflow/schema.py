@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType, BooleanType, DataType, DateType, DoubleType, IntegerType, StringType, StructField,
+    StructType, TimestampType,
+)
 
 # Source columns of the five raw feeds, all nullable strings.
 NVD_FIELDS = (
@@ -28,19 +33,23 @@ MODULE_FIELDS = (
 
 RUN_DATE = ("year", "month", "day")
 AUDIT = ("_ingested_at", "_source", "_batch_id", *RUN_DATE)
-AUDIT_DDL = "_ingested_at timestamp, _source string, _batch_id string, year int, month int, day int"
 
+TEXT, FLAG, NUMBER, INT = StringType(), BooleanType(), DoubleType(), IntegerType()
+DAY, TIME, TEXTS = DateType(), TimestampType(), ArrayType(StringType())
+RUN_FIELDS = {"year": INT, "month": INT, "day": INT}
+AUDIT_FIELDS = {"_ingested_at": TIME, "_source": TEXT, "_batch_id": TEXT, **RUN_FIELDS}
 
-def strings(names) -> StructType:
-    return StructType([StructField(n, StringType(), True) for n in names])
 
+def _struct(fields: dict[str, DataType]) -> StructType:
+    return StructType([StructField(name, kind, True) for name, kind in fields.items()])
 
-def _table(ddl: str) -> StructType:
-    return StructType.fromDDL(f"{ddl}, {AUDIT_DDL}")
 
+def strings(names: Iterable[str]) -> StructType:
+    return _struct(dict.fromkeys(names, TEXT))
 
-def _raw(names) -> StructType:
-    return StructType(strings(names).fields + StructType.fromDDL(AUDIT_DDL).fields)
+
+def _raw(names: Iterable[str]) -> StructType:
+    return _struct({**dict.fromkeys(names, TEXT), **AUDIT_FIELDS})
 
 
 RAW = {
@@ -52,35 +61,38 @@ RAW = {
 }
 
 CLEAN = {
-    "nvd": _table(
-        "cve_id string, sourceIdentifier string, published_ts timestamp, last_modified_ts timestamp, "
-        "vulnStatus string, description_en string, cvss_v31_base_score double, "
-        "cvss_v31_severity string, cvss_v31_vector string, cvss_v31_attack_vector string, "
-        "cvss_v31_attack_complexity string, primary_cwe string, references string"
-    ),
-    "kev": _table(
-        "cve_id string, vendor_project string, product string, vulnerability_name string, "
-        "date_added date, short_description string, required_action string, due_date date, "
-        "is_ransomware_related boolean, notes string, date_released date"
-    ),
-    "epss": _table("cve_id string, epss_score double, epss_percentile double, score_date date"),
-    "exploits": _table(
-        "exploit_id string, file string, description string, date_published_dt date, "
-        "author string, platform_clean string, exploit_type string, port_num int, "
-        "cve_ids array<string>, cve_count int"
-    ),
-    "modules": _table(
-        "fullname string, name string, title string, module_type string, platforms array<string>, "
-        "rank_label string, rank_numeric int, disclosure_date_dt date, mod_time_ts timestamp, "
-        "description string, authors array<string>, cve_ids array<string>, cve_count int, "
-        "rport string, check string, post_auth string"
-    ),
+    "nvd": _struct({
+        "cve_id": TEXT, "sourceIdentifier": TEXT, "published_ts": TIME, "last_modified_ts": TIME,
+        "vulnStatus": TEXT, "description_en": TEXT, "cvss_v31_base_score": NUMBER,
+        "cvss_v31_severity": TEXT, "cvss_v31_vector": TEXT, "cvss_v31_attack_vector": TEXT,
+        "cvss_v31_attack_complexity": TEXT, "primary_cwe": TEXT, "references": TEXT, **AUDIT_FIELDS,
+    }),
+    "kev": _struct({
+        "cve_id": TEXT, "vendor_project": TEXT, "product": TEXT, "vulnerability_name": TEXT,
+        "date_added": DAY, "short_description": TEXT, "required_action": TEXT, "due_date": DAY,
+        "is_ransomware_related": FLAG, "notes": TEXT, "date_released": DAY, **AUDIT_FIELDS,
+    }),
+    "epss": _struct({
+        "cve_id": TEXT, "epss_score": NUMBER, "epss_percentile": NUMBER, "score_date": DAY,
+        **AUDIT_FIELDS,
+    }),
+    "exploits": _struct({
+        "exploit_id": TEXT, "file": TEXT, "description": TEXT, "date_published_dt": DAY,
+        "author": TEXT, "platform_clean": TEXT, "exploit_type": TEXT, "port_num": INT,
+        "cve_ids": TEXTS, "cve_count": INT, **AUDIT_FIELDS,
+    }),
+    "modules": _struct({
+        "fullname": TEXT, "name": TEXT, "title": TEXT, "module_type": TEXT, "platforms": TEXTS,
+        "rank_label": TEXT, "rank_numeric": INT, "disclosure_date_dt": DAY, "mod_time_ts": TIME,
+        "description": TEXT, "authors": TEXTS, "cve_ids": TEXTS, "cve_count": INT, "rport": TEXT,
+        "check": TEXT, "post_auth": TEXT, **AUDIT_FIELDS,
+    }),
 }
 
-KPI_HISTORY = StructType.fromDDL(
-    "kpi_name string, kpi_value double, kpi_type string, time_window string, "
-    "computed_at timestamp, computed_date date, year int, month int, day int"
-)
+KPI_HISTORY = _struct({
+    "kpi_name": TEXT, "kpi_value": NUMBER, "kpi_type": TEXT, "time_window": TEXT,
+    "computed_at": TIME, "computed_date": DAY, **RUN_FIELDS,
+})
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:

@@ -18,7 +18,10 @@ AS_OF = "2001-08-02"
 TIEBREAK = ["_batch_id"]
 CHUNK = 100_000
 
-_CVE = "concat('CVE-', cast(2018 + {k} % 7 AS string), '-', lpad(cast({k} AS string), 7, '0'))"
+_CVE = (
+    "concat('CVE-', cast(2018 + {k} % 7 AS string), '-', "
+    "lpad(cast({k} AS string), cast(greatest(7, length(cast({k} AS string))) AS int), '0'))"
+)
 _LINE_CVE = _CVE.replace("{k}", "l_orderkey")
 
 NVD = """
