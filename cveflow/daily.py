@@ -38,7 +38,7 @@ def run(
 
     def store(name: str, df: DataFrame) -> DataFrame:
         paths[name] = f"{home}/{name}"
-        sinks.overwrite(df, paths[name])
+        sinks.overwrite(df, paths[name], rebalance=True)
         return spark.read.schema(df.schema).parquet(paths[name])
 
     def store_mart(name: str, df: DataFrame, cluster_by: str) -> DataFrame:

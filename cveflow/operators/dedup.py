@@ -33,9 +33,8 @@ def _bucket(c: Column, lo: float, hi: float, buckets: int) -> Column:
     """Monotone bucket number in [-2, buckets]: NULL lowest, then out-of-range ends clipped."""
     scaled = (c - F.lit(float(lo))) / F.lit(float(hi - lo)) * buckets
     clipped = F.greatest(F.lit(-1.0), F.least(F.lit(float(buckets)), F.floor(scaled).cast("double")))
-    return F.when(c.isNull(), -2).otherwise(
-        F.when(F.isnan(c), buckets).otherwise(clipped.cast("int"))
-    )
+    number = F.when(F.isnan(c), buckets).otherwise(clipped.cast("int"))
+    return F.coalesce(F.when(c.isNotNull(), number), F.lit(-2))
 
 
 def dense_ranks(

@@ -19,11 +19,10 @@ UNSCORED = {"cvss_v31_base_score": 0.0, "cvss_v31_severity": "UNKNOWN"}
 
 # Where the cleaned fields sit inside the JSON columns.
 FIRST_DESCRIPTION = "$[0].value"
-FIRST_CVSS = "$.cvssMetricV31[0].cvssData"
 FIRST_CWE = "$[0].description[0].value"
-CVSS_FIELDS = (
-    "baseScore string, baseSeverity string, vectorString string, attackVector string, "
-    "attackComplexity string"
+CVSS_METRICS = (
+    "cvssMetricV31 array<struct<cvssData:struct<baseScore:string,baseSeverity:string,"
+    "vectorString:string,attackVector:string,attackComplexity:string>>>"
 )
 
 
@@ -32,9 +31,10 @@ def _select(df: DataFrame, feed: str) -> DataFrame:
 
 
 def nvd_rows(raw: DataFrame) -> DataFrame:
-    """The rating object is cut out of ``metrics`` in one pass and its small text parsed once."""
+    """Typed and validated records; the five rating fields come from one parse of ``metrics``."""
     # The explicit mode keeps the five fields in one shared parse instead of five pruned ones.
-    cvss = F.from_json(F.get_json_object("metrics", FIRST_CVSS), CVSS_FIELDS, {"mode": "PERMISSIVE"})
+    metrics = F.from_json("metrics", CVSS_METRICS, {"mode": "PERMISSIVE"})
+    cvss = F.get(metrics["cvssMetricV31"], 0)["cvssData"]
     return (
         raw.withColumns({"cve_id": ids.normalise("id"), "_cvss": cvss})
         .where(ids.is_valid("cve_id"))
@@ -87,13 +87,19 @@ def kev(raw: DataFrame, *, tiebreak: Sequence[str] | None = None) -> DataFrame:
 
 
 def epss_rows(raw: DataFrame) -> DataFrame:
-    typed = raw.withColumns({
+    # The clamp reads its input three times, so the text is parsed in a projection of its own.
+    parsed = raw.withColumns({
         "cve_id": ids.normalise("cve"),
-        "epss_score": v.clamp01(v.number(F.col("epss"))),
-        "epss_percentile": v.clamp01(v.number(F.col("percentile"))),
+        "_score": v.number(F.col("epss")),
+        "_percentile": v.number(F.col("percentile")),
+    })
+    valid = parsed.where(ids.is_valid("cve_id") & F.col("_score").isNotNull())
+    typed = valid.withColumns({
+        "epss_score": v.clamp01(F.col("_score")),
+        "epss_percentile": v.clamp01(F.col("_percentile")),
         "score_date": v.day(F.col("date")),
     })
-    return _select(typed.where(ids.is_valid("cve_id") & F.col("epss_score").isNotNull()), "epss")
+    return _select(typed, "epss")
 
 
 def epss(raw: DataFrame, *, tiebreak: Sequence[str] | None = None) -> DataFrame:

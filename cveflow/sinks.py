@@ -13,10 +13,22 @@ __all__ = ["append", "clustered", "overwrite", "upsert", "write_observed"]
 
 
 def write_observed(
-    df: DataFrame, path: str, *, mode: str, partition_by: Sequence[str] = RUN_DATE
+    df: DataFrame,
+    path: str,
+    *,
+    mode: str,
+    partition_by: Sequence[str] = RUN_DATE,
+    rebalance: bool = False,
 ) -> Observation:
-    """Write Parquet; ``observation.get['rows']`` is the number of rows written."""
+    """Write Parquet; ``observation.get['rows']`` is the number of rows written.
+
+    ``rebalance`` is for tables that span many partitions: it brings the rows of a partition
+    together, so that not every task writes a file into every partition, and adaptive execution
+    splits the large partitions over several tasks again.
+    """
     seen = Observation("written")
+    if rebalance and partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -24,12 +36,16 @@ def write_observed(
     return seen
 
 
-def append(df: DataFrame, path: str, *, partition_by: Sequence[str] = RUN_DATE) -> Observation:
-    return write_observed(df, path, mode="append", partition_by=partition_by)
+def append(
+    df: DataFrame, path: str, *, partition_by: Sequence[str] = RUN_DATE, rebalance: bool = False
+) -> Observation:
+    return write_observed(df, path, mode="append", partition_by=partition_by, rebalance=rebalance)
 
 
-def overwrite(df: DataFrame, path: str, *, partition_by: Sequence[str] = RUN_DATE) -> Observation:
-    return write_observed(df, path, mode="overwrite", partition_by=partition_by)
+def overwrite(
+    df: DataFrame, path: str, *, partition_by: Sequence[str] = RUN_DATE, rebalance: bool = False
+) -> Observation:
+    return write_observed(df, path, mode="overwrite", partition_by=partition_by, rebalance=rebalance)
 
 
 def clustered(
