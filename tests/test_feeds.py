@@ -94,8 +94,8 @@ def test_empty_feed_has_the_declared_schema(spark, tmp_path):
 
 def test_clean_tables_have_the_declared_types(spark, tables):
     for feed in schema.CLEAN:
-        have = {f.name: f.dataType for f in getattr(tables, feed)().schema.fields}
-        assert have == {f.name: f.dataType for f in schema.CLEAN[feed].fields}
+        have = {f.name: f.dataType.simpleString() for f in getattr(tables, feed)().schema.fields}
+        assert have == {f.name: f.dataType.simpleString() for f in schema.CLEAN[feed].fields}
 
 
 def test_top_up_only_below_the_target(spark):
