@@ -47,6 +47,10 @@ def _list(c: str) -> str:
     return f"array_to_string({c}, ',') AS {c}"
 
 
+def _ymd(c: str) -> str:
+    return ", ".join(f"cast({part}({c}) AS INTEGER) AS {part}" for part in ("year", "month", "day"))
+
+
 def _r8(c: str) -> str:
     return f"round({c}, 8) AS {c}"
 
@@ -105,7 +109,7 @@ SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY cve_id, sc
   FROM epss_rows) WHERE rn = 1"""
 
 CTE["exploits"] = f"""
-SELECT * EXCLUDE (rn), len(cve_ids) AS cve_count FROM (SELECT trim(id) AS exploit_id, file, description,
+SELECT * EXCLUDE (rn), cast(len(cve_ids) AS INTEGER) AS cve_count FROM (SELECT trim(id) AS exploit_id, file, description,
     {_day('date_published')} AS date_published_dt, author, lower(trim(platform)) AS platform_clean,
     lower(trim(type)) AS exploit_type, try_cast(port AS INTEGER) AS port_num,
     list_filter(string_split(codes, ';'), lambda x: regexp_matches(x, {LOOSE})) AS cve_ids,
@@ -113,7 +117,7 @@ SELECT * EXCLUDE (rn), len(cve_ids) AS cve_count FROM (SELECT trim(id) AS exploi
     row_number() OVER (PARTITION BY trim(id) ORDER BY {NEWEST}) AS rn
   FROM raw_exploits WHERE trim(id) <> '') WHERE rn = 1"""
 CTE["modules"] = f"""
-SELECT * EXCLUDE (rn), len(cve_ids) AS cve_count FROM (SELECT fullname, name, title,
+SELECT * EXCLUDE (rn), cast(len(cve_ids) AS INTEGER) AS cve_count FROM (SELECT fullname, name, title,
     lower(trim(type)) AS module_type, from_json(platform, '["VARCHAR"]') AS platforms,
     lower(trim(rank)) AS rank_label,
     CASE lower(rank) WHEN 'excellent' THEN 7 WHEN 'great' THEN 6 WHEN 'good' THEN 5 WHEN 'normal' THEN 4
@@ -362,16 +366,14 @@ SELECT id, lastModified, _batch_id FROM raw_nvd""")
 
 # Sinks
 Q["q_append_roundtrip"] = _with("kev_rows", f"""
-SELECT cve_id, {_txt('date_added')}, {_txt('due_date')}, year(_ingested_at) AS year, month(_ingested_at) AS month,
-  day(_ingested_at) AS day FROM kev_rows""")
+SELECT cve_id, {_txt('date_added')}, {_txt('due_date')}, {_ymd('_ingested_at')} FROM kev_rows""")
 Q["q_overwrite_roundtrip"] = _with("nvd", f"""
-SELECT cve_id, {_time('last_modified_ts')}, year(_ingested_at) AS year, month(_ingested_at) AS month,
-  day(_ingested_at) AS day FROM nvd""")
+SELECT cve_id, {_time('last_modified_ts')}, {_ymd('_ingested_at')} FROM nvd""")
 Q["q_clustered_write"] = _with("master", f"SELECT cve_id, {_time('published_ts')}, {_r8('epss_score')} FROM master")
 Q["q_upsert"] = _with("risk_runs", f"""
-SELECT {RISK_COLUMNS}, year(run) AS year, month(run) AS month, day(run) AS day FROM risk_runs""")
+SELECT {RISK_COLUMNS}, {_ymd('run')} FROM risk_runs""")
 Q["q_partition_scan"] = _with("risk_runs", f"""
-SELECT {RISK_COLUMNS}, year(run) AS year, month(run) AS month, day(run) AS day FROM risk_runs
+SELECT {RISK_COLUMNS}, {_ymd('run')} FROM risk_runs
 WHERE run = DATE '{AS_OF}'""")
 
 # Cleaning
@@ -387,7 +389,7 @@ Q["q_clamp"] = _with("raw_epss", f"""
 SELECT cve, _batch_id, round({_clamp('try_cast(epss AS DOUBLE)')}, 8) AS epss_score,
   round({_clamp('try_cast(percentile AS DOUBLE)')}, 8) AS epss_percentile FROM raw_epss""")
 Q["q_extract_codes"] = _with("raw_exploits", f"""
-SELECT file, id, array_to_string(ids, ',') AS cve_ids, len(ids) AS cve_count FROM (
+SELECT file, id, array_to_string(ids, ',') AS cve_ids, cast(len(ids) AS INTEGER) AS cve_count FROM (
   SELECT file, id, list_filter(string_split(codes, ';'), lambda x: regexp_matches(x, {LOOSE})) AS ids FROM raw_exploits)""")
 Q["q_json_arrays"] = _with("raw_modules", """
 SELECT fullname, array_to_string(from_json(platform, '["VARCHAR"]'), ',') AS platforms,

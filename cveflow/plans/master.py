@@ -58,7 +58,7 @@ def module_links(modules: DataFrame) -> DataFrame:
 
 
 def _id_lists(
-    links: DataFrame, counts: DataFrame, count_col: str, id_col: str, out: str, limit: int, salts: int = 64
+    links: DataFrame, counts: DataFrame, count_col: str, id_col: str, out: str, limit: int, salts: int = 256
 ) -> DataFrame:
     """``(cve_id, out)``: the sorted distinct ids of every advisory with at most ``limit`` links.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import duckdb
 
 TABLES = ("orders", "lineitem")
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -33,8 +34,17 @@ def duck_rows(con, statement: str) -> tuple[list[str], list[tuple]]:
     return [names[i] for i in order], sorted(rows, key=_key)
 
 
+def type_difference(df, con, statement: str) -> list[tuple]:
+    want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {statement}").fetchall()}
+    have = {f.name: TYPES[f.dataType.simpleString()] for f in df.schema.fields}
+    return [(n, have[n], want.get(n)) for n in have if have[n] != want.get(n)]
+
+
 def difference(df, con, statement: str) -> str:
     """Empty if equal, else a short description."""
+    types = type_difference(df, con, statement)
+    if types:
+        return f"types {types}"
     have_names, have = spark_rows(df)
     want_names, want = duck_rows(con, statement)
     if have_names != want_names:
