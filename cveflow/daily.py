@@ -6,16 +6,12 @@ import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from cveflow import sinks
 from cveflow.functions import values as v
 from cveflow.plans import clean, kpis, master, readiness, risk, trends
-
-CLEANERS = {
-    "nvd": clean.nvd, "kev": clean.kev, "epss": clean.epss,
-    "exploits": clean.exploits, "modules": clean.modules,
-}
-
+from cveflow.schema import CLEAN
 
 def run(
     spark: SparkSession,
@@ -30,12 +26,21 @@ def run(
     """Write every table of the run under ``root/run=<date>`` and return their paths.
 
     Each layer reads the stored tables of the layer before it.  ``previous`` is the folder of the
-    run before: its master and risk rows are kept unless this run has the same advisory.  KPI rows
-    are appended under ``root/kpis``.
+    run before; ``raw`` then needs only the rows that came since: cleaned tables are carried forward
+    and master and risk are upserted.  KPI rows are appended under ``root/kpis``.
     """
     home = f"{root.rstrip('/')}/run={v.as_date(as_of)}"
     paths: dict[str, str] = {}
 
+    def before(name: str, schema: StructType) -> DataFrame | None:
+        return spark.read.schema(schema).parquet(f"{previous}/{name}") if previous else None
+
+    def cleaned(feed: str) -> DataFrame:
+        old = before(feed, CLEAN[feed])
+        if old is None:
+            return getattr(clean, feed)(raw[feed], tiebreak=tiebreak)
+        return clean.update(feed, old, raw[feed], tiebreak=tiebreak)
+
     def store(name: str, df: DataFrame) -> DataFrame:
         paths[name] = f"{home}/{name}"
         sinks.overwrite(df, paths[name], rebalance=True)
@@ -43,14 +48,14 @@ def run(
 
     def store_mart(name: str, df: DataFrame, cluster_by: str) -> DataFrame:
         paths[name] = f"{home}/{name}"
-        before = spark.read.schema(df.schema).parquet(f"{previous}/{name}") if previous else None
-        merged = df if before is None else sinks.upsert(before, df, ["cve_id"])
+        old = before(name, df.schema)
+        merged = df if old is None else sinks.upsert(old, df, ["cve_id"])
         sinks.clustered(merged, paths[name], cluster_by=cluster_by, partition_by=("year", "month", "day"))
         return spark.read.schema(df.schema).parquet(paths[name])
 
-    cleaned = {name: store(name, clean_feed(raw[name], tiebreak=tiebreak)) for name, clean_feed in CLEANERS.items()}
+    tables = {feed: store(feed, cleaned(feed)) for feed in CLEAN}
     wide = store_mart(
-        "master", master.build(**cleaned, as_of=as_of, now=now, tiebreak=tiebreak), "cve_id"
+        "master", master.build(**tables, as_of=as_of, now=now, tiebreak=tiebreak), "cve_id"
     )
     scored = store_mart("risk", risk.score(wide, as_of=as_of, now=now), "composite_risk_score")
     store("trends", trends.combined(wide, as_of=as_of, now=now))

@@ -81,6 +81,13 @@ def percent(part: Column, whole: Column, places: int) -> Column:
     return F.round(part / whole * 100, places)
 
 
+def stamped(df, as_of: dt.date | str | None, now: dt.datetime | dt.date | str | None, name: str):
+    """Run date and computing time of a mart; without ``as_of`` the frame is left as it is."""
+    if as_of is None:
+        return df
+    return run_date(df, as_of).withColumn(name, timestamp(as_of if now is None else now))
+
+
 def run_date(df, as_of: dt.date | str):
     """The partition columns ``year, month, day`` of a run."""
     d = as_date(as_of)

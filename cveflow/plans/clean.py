@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from cveflow.functions import ids, values as v
+from cveflow.functions.values import clamp01, rank_number
 from cveflow.operators.dedup import latest_by
 from cveflow.schema import AUDIT, CLEAN
 
@@ -26,6 +27,21 @@ CVSS_METRICS = (
 )
 
 
+# Key of each cleaned table, and what makes a row of a key the newest.
+KEYS = {
+    "nvd": ("cve_id",), "kev": ("cve_id",), "epss": ("cve_id", "score_date"),
+    "exploits": ("exploit_id",), "modules": ("fullname",),
+}
+NEWEST = {
+    "nvd": ("last_modified_ts", "_ingested_at"), "kev": ("_ingested_at",), "epss": ("_ingested_at",),
+    "exploits": ("_ingested_at",), "modules": ("_ingested_at",),
+}
+
+
+def _newest(feed: str, rows: DataFrame, tiebreak: Sequence[str] | None) -> DataFrame:
+    return latest_by(rows, KEYS[feed], NEWEST[feed], tiebreak=tiebreak)
+
+
 def _select(df: DataFrame, feed: str) -> DataFrame:
     return df.select(*CLEAN[feed].names)
 
@@ -60,9 +76,7 @@ def nvd_rows(raw: DataFrame) -> DataFrame:
 
 def nvd(raw: DataFrame, *, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Newest revision of every advisory."""
-    return latest_by(
-        nvd_rows(raw), ["cve_id"], ["last_modified_ts", "_ingested_at"], tiebreak=tiebreak
-    )
+    return _newest("nvd", nvd_rows(raw), tiebreak)
 
 
 def kev_rows(raw: DataFrame) -> DataFrame:
@@ -83,7 +97,7 @@ def kev_rows(raw: DataFrame) -> DataFrame:
 
 def kev(raw: DataFrame, *, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Newest known-exploited entry of every advisory."""
-    return latest_by(kev_rows(raw), ["cve_id"], ["_ingested_at"], tiebreak=tiebreak)
+    return _newest("kev", kev_rows(raw), tiebreak)
 
 
 def epss_rows(raw: DataFrame) -> DataFrame:
@@ -95,8 +109,8 @@ def epss_rows(raw: DataFrame) -> DataFrame:
     })
     valid = parsed.where(ids.is_valid("cve_id") & F.col("_score").isNotNull())
     typed = valid.withColumns({
-        "epss_score": v.clamp01(F.col("_score")),
-        "epss_percentile": v.clamp01(F.col("_percentile")),
+        "epss_score": clamp01(F.col("_score")),
+        "epss_percentile": clamp01(F.col("_percentile")),
         "score_date": v.day(F.col("date")),
     })
     return _select(typed, "epss")
@@ -104,7 +118,7 @@ def epss_rows(raw: DataFrame) -> DataFrame:
 
 def epss(raw: DataFrame, *, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Newest score of every advisory and day."""
-    return latest_by(epss_rows(raw), ["cve_id", "score_date"], ["_ingested_at"], tiebreak=tiebreak)
+    return _newest("epss", epss_rows(raw), tiebreak)
 
 
 def exploit_rows(raw: DataFrame) -> DataFrame:
@@ -121,7 +135,7 @@ def exploit_rows(raw: DataFrame) -> DataFrame:
 
 def exploits(raw: DataFrame, *, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Newest entry of every public exploit."""
-    return latest_by(exploit_rows(raw), ["exploit_id"], ["_ingested_at"], tiebreak=tiebreak)
+    return _newest("exploits", exploit_rows(raw), tiebreak)
 
 
 def module_rows(raw: DataFrame) -> DataFrame:
@@ -129,7 +143,7 @@ def module_rows(raw: DataFrame) -> DataFrame:
         "module_type": v.lower_trim(F.col("type")),
         "platforms": v.text_list(F.col("platform")),
         "rank_label": v.lower_trim(F.col("rank")),
-        "rank_numeric": v.rank_number(F.col("rank")),
+        "rank_numeric": rank_number(F.col("rank")),
         "disclosure_date_dt": v.day(F.col("disclosure_date")),
         "mod_time_ts": F.try_to_timestamp(F.substring("mod_time", 1, 19), F.lit("yyyy-MM-dd HH:mm:ss")),
         "authors": v.text_list(F.col("author")),
@@ -140,4 +154,20 @@ def module_rows(raw: DataFrame) -> DataFrame:
 
 def modules(raw: DataFrame, *, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Newest metadata of every exploit module."""
-    return latest_by(module_rows(raw), ["fullname"], ["_ingested_at"], tiebreak=tiebreak)
+    return _newest("modules", module_rows(raw), tiebreak)
+
+
+ROWS = {
+    "nvd": nvd_rows, "kev": kev_rows, "epss": epss_rows, "exploits": exploit_rows,
+    "modules": module_rows,
+}
+
+
+def update(
+    feed: str, previous: DataFrame, raw: DataFrame, *, tiebreak: Sequence[str] | None = None
+) -> DataFrame:
+    """The cleaned table after more raw rows, without reading the raw history again.
+
+    The newest of (newest so far, new rows) is the newest of all rows, so this equals a rebuild.
+    """
+    return _newest(feed, previous.select(*CLEAN[feed].names).unionByName(ROWS[feed](raw)), tiebreak)

@@ -145,9 +145,7 @@ def build(
         "has_msf_module": F.col("msf_module_count") > 0,
         "days_since_published": age_days(F.col("published_ts"), as_of),
     })
-    return v.run_date(flagged, as_of).withColumn(
-        "_gold_updated_at", v.timestamp(now if now is not None else as_of)
-    )
+    return v.stamped(flagged, as_of, now, "_gold_updated_at")
 
 
 def age_days(published, as_of: dt.date | str):

@@ -35,7 +35,7 @@ def weaponization_level() -> Column:
 
 
 def build(
-    master: DataFrame, *, as_of: dt.date | str, now: dt.datetime | str | None = None
+    master: DataFrame, *, as_of: dt.date | str | None = None, now: dt.datetime | str | None = None
 ) -> DataFrame:
     """Readiness table.  The timing is a conditional column, so no join is needed."""
     days = days_to_exploit()
@@ -48,9 +48,7 @@ def build(
         days.alias("days_to_exploit"),
         t2e_category(days).alias("t2e_category"),
     )
-    return v.run_date(table, as_of).withColumn(
-        "_computed_at", v.timestamp(now if now is not None else as_of)
-    )
+    return v.stamped(table, as_of, now, "_computed_at")
 
 
 def time_to_exploit(master: DataFrame) -> DataFrame:

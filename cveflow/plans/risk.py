@@ -83,7 +83,7 @@ def _ranked(scored: DataFrame, weights: Mapping[str, float]) -> DataFrame:
 def score(
     master: DataFrame,
     *,
-    as_of: dt.date | str,
+    as_of: dt.date | str | None = None,
     now: dt.datetime | str | None = None,
     weights: Mapping[str, float] = WEIGHTS,
 ) -> DataFrame:
@@ -91,8 +91,7 @@ def score(
     inputs = [c for c in COLUMNS if c not in (SCORE, "risk_tier", "priority_rank")]
     scored = master.select(*inputs).withColumn(SCORE, composite(weights))
     ranked = _ranked(scored, weights).withColumn("risk_tier", tier(F.col(SCORE))).select(*COLUMNS)
-    stamped = ranked.withColumn("_scored_at", v.timestamp(now if now is not None else as_of))
-    return v.run_date(stamped, as_of)
+    return v.stamped(ranked, as_of, now, "_scored_at")
 
 
 def tier_distribution(risk: DataFrame) -> DataFrame:

@@ -75,7 +75,7 @@ def cwe_by_year(master: DataFrame) -> DataFrame:
 
 
 def combined(
-    master: DataFrame, *, as_of: dt.date | str, now: dt.datetime | str | None = None
+    master: DataFrame, *, as_of: dt.date | str | None = None, now: dt.datetime | str | None = None
 ) -> DataFrame:
     """All three grains in one narrow frame, from one pass over the master.
 
@@ -106,7 +106,5 @@ def combined(
         F.sum("kev").alias("cisa_kev_count"),
         F.sum("exploitable").alias("exploitable_count"),
     )
-    stamped = narrow.select("trend_type", F.col("start").cast("string").alias("period"), *COMMON)
-    return v.run_date(stamped, as_of).withColumn(
-        "_computed_at", v.timestamp(now if now is not None else as_of)
-    )
+    named = narrow.select("trend_type", F.col("start").cast("string").alias("period"), *COMMON)
+    return v.stamped(named, as_of, now, "_computed_at")

@@ -1,4 +1,4 @@
-"""Declared schemas of the raw and cleaned tables."""
+"""Declared schemas of the raw tables, the cleaned tables and the marts."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DataType, DateType, DoubleType, IntegerType, StringType, StructField,
-    StructType, TimestampType,
+    ArrayType, BooleanType, DataType, DateType, DoubleType, IntegerType, LongType, StringType,
+    StructField, StructType, TimestampType,
 )
 
 # Source columns of the five raw feeds, all nullable strings.
@@ -89,6 +89,47 @@ CLEAN = {
     }),
 }
 
+COUNT = LongType()
+
+MASTER = _struct({
+    "cve_id": TEXT, "sourceIdentifier": TEXT, "published_ts": TIME, "last_modified_ts": TIME,
+    "vulnStatus": TEXT, "description_en": TEXT, "cvss_v31_base_score": NUMBER,
+    "cvss_v31_severity": TEXT, "cvss_v31_vector": TEXT, "cvss_v31_attack_vector": TEXT,
+    "cvss_v31_attack_complexity": TEXT, "primary_cwe": TEXT, "vendor_project": TEXT,
+    "product": TEXT, "vulnerability_name": TEXT, "date_added": DAY, "due_date": DAY,
+    "is_ransomware_related": FLAG, "required_action": TEXT, "in_cisa_kev": FLAG,
+    "epss_score": NUMBER, "epss_percentile": NUMBER, "epss_score_date": DAY,
+    "exploit_count": COUNT, "exploit_ids": TEXTS, "exploit_platforms": TEXTS,
+    "exploit_types": TEXTS, "earliest_exploit_date": DAY, "msf_module_count": COUNT,
+    "msf_module_names": TEXTS, "msf_module_types": TEXTS, "msf_max_rank": INT,
+    "has_public_exploit": FLAG, "has_msf_module": FLAG, "days_since_published": INT,
+    **RUN_FIELDS, "_gold_updated_at": TIME,
+})
+
+RISK = _struct({
+    "cve_id": TEXT, "description_en": TEXT, "cvss_v31_base_score": NUMBER,
+    "cvss_v31_severity": TEXT, "epss_score": NUMBER, "epss_percentile": NUMBER,
+    "in_cisa_kev": FLAG, "is_ransomware_related": FLAG, "has_public_exploit": FLAG,
+    "exploit_count": COUNT, "has_msf_module": FLAG, "msf_module_count": COUNT,
+    "composite_risk_score": NUMBER, "risk_tier": TEXT, "priority_rank": INT, "published_ts": TIME,
+    "days_since_published": INT, "primary_cwe": TEXT, "vendor_project": TEXT, "product": TEXT,
+    **RUN_FIELDS, "_scored_at": TIME,
+})
+
+TRENDS = _struct({
+    "trend_type": TEXT, "period": TEXT, "new_cves": COUNT, "avg_cvss": NUMBER, "avg_epss": NUMBER,
+    "cisa_kev_count": COUNT, "exploitable_count": COUNT, **RUN_FIELDS, "_computed_at": TIME,
+})
+
+READINESS = _struct({
+    "cve_id": TEXT, "description_en": TEXT, "cvss_v31_severity": TEXT,
+    "cvss_v31_base_score": NUMBER, "epss_score": NUMBER, "primary_cwe": TEXT, "published_ts": TIME,
+    "earliest_exploit_date": DAY, "has_public_exploit": FLAG, "exploit_count": COUNT,
+    "has_msf_module": FLAG, "msf_module_count": COUNT, "weaponization_level": TEXT,
+    "in_cisa_kev": FLAG, "days_to_exploit": INT, "t2e_category": TEXT, **RUN_FIELDS,
+    "_computed_at": TIME,
+})
+
 KPI_HISTORY = _struct({
     "kpi_name": TEXT, "kpi_value": NUMBER, "kpi_type": TEXT, "time_window": TEXT,
     "computed_at": TIME, "computed_date": DAY, **RUN_FIELDS,

@@ -63,7 +63,7 @@ def clustered(
     splits it over several files.
     """
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    ranges = [F.col(cluster_by), spread]
+    ranges = [*[F.col(c) for c in partition_by], F.col(cluster_by), spread]
     ranged = df.repartitionByRange(partitions, *ranges) if partitions else df.repartitionByRange(*ranges)
     return write_observed(
         ranged.sortWithinPartitions(*partition_by, cluster_by), path, mode=mode, partition_by=partition_by

@@ -14,6 +14,13 @@ from pyspark.sql.types import StructType
 
 from cveflow import schema as s
 from cveflow.functions import values as v
+from cveflow.sources.planning import high_water_mark, plan_offsets, plan_windows
+from cveflow.streaming.ingest import ingest_incremental
+
+__all__ = [
+    "high_water_mark", "ingest_incremental", "or_empty", "plan_offsets", "plan_windows", "read_epss",
+    "read_exploits", "read_kev", "read_modules", "read_nvd", "stamp", "top_up",
+]
 
 # What an absent nested field is stored as.
 NVD_DEFAULTS = {

@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import Window, functions as F
 
-from cveflow import dedup, kpis, master, merge, readiness, risk, schema, testfeeds, trends, views
+from cveflow import clean, dedup, kpis, master, merge, readiness, risk, schema, testfeeds, trends, views
 
 AS_OF = testfeeds.AS_OF
 
@@ -81,8 +81,6 @@ def test_master_has_one_row_per_clean_advisory(tables):
 
 
 def test_latest_epss_from_rows_equals_from_daily_table(tables):
-    from cveflow import clean
-
     rows = clean.epss_rows(tables.raw("epss"))
     assert same(master.latest_epss(rows, tiebreak=testfeeds.TIEBREAK),
                 master.latest_epss(tables.epss(), tiebreak=testfeeds.TIEBREAK))
@@ -115,6 +113,26 @@ def test_hot_advisory_keeps_exact_counts_and_all_links(spark):
     assert master.exploit_links(df).where("cve_id = 'HOT'").select("exploit_id").distinct().count() == 300
 
 
+@pytest.mark.parametrize("feed", ["nvd", "kev", "epss", "exploits", "modules"])
+def test_update_with_new_rows_equals_a_rebuild(tables, feed):
+    ties = testfeeds.TIEBREAK
+    rows, build = tables.raw(feed), getattr(clean, feed)
+    old, new = rows.where("_ingested_at < '2001-08-02'"), rows.where("_ingested_at >= '2001-08-02'")
+    whole = build(rows, tiebreak=ties)
+    assert same(clean.update(feed, build(old, tiebreak=ties), new, tiebreak=ties), whole)
+    assert same(clean.update(feed, whole, rows, tiebreak=ties), whole)
+
+
+def test_marts_have_the_declared_schema(tables):
+    def types(fields):
+        return [(f.name, f.dataType.simpleString()) for f in fields]
+
+    for declared, mart in ((schema.MASTER, tables.master()), (schema.RISK, tables.risk()),
+                           (schema.TRENDS, tables.trends()), (schema.READINESS, tables.readiness())):
+        assert types(mart.schema) == types(declared)
+    assert risk.score(tables.master()).columns == list(risk.COLUMNS)
+
+
 # --- upsert --------------------------------------------------------------------------------------
 
 def test_upsert(spark):
