@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     ArrayType, BooleanType, DataType, DateType, DoubleType, IntegerType, LongType, StringType,
     StructField, StructType, TimestampType,
@@ -137,9 +137,5 @@ KPI_HISTORY = _struct({
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select exactly the declared columns, cast to the declared types; absent ones are NULL."""
-    have = set(df.columns)
-    return df.select(*[
-        (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
+    """Exactly the declared columns in the declared types; absent ones are NULL."""
+    return df.to(schema)

@@ -132,9 +132,25 @@ FROM g
 STATEMENTS = {"nvd": NVD, "kev": KEV, "epss": EPSS, "exploits": EXPLOITS, "modules": MODULES}
 
 
+# Columns that tell rows apart, so that a hash of them is even whatever key is frequent.
+ROW_ID = {"orders": ("o_orderkey",), "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")}
+
+
+def spread(df: DataFrame, row_id: tuple[str, ...]) -> DataFrame:
+    """Use all cores where the input has fewer splits than the session has cores.
+
+    Deriving and parsing cost much more than reading, and a small file is one split.  Inputs of
+    cluster size have more splits than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *row_id)
+
+
 def _view(spark: SparkSession, sf_dir: str, table: str) -> str:
     name = f"cveflow_{table}_{zlib.crc32(sf_dir.encode()):08x}"
-    spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").createOrReplaceTempView(name)
+    if not spark.catalog.tableExists(name):
+        source = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+        spread(source, ROW_ID[table]).createOrReplaceTempView(name)
     return name
 
 
