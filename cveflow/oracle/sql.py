@@ -1,7 +1,8 @@
 """The same results in DuckDB SQL, one statement per query key.
 
 Written from the semantics, not from the Spark plans: plain casts, windows and joins.  Dates and
-times come out as text, lists joined with commas, unrounded doubles rounded to eight places.
+times come out as text, lists joined with commas, unrounded doubles rounded to eight places (by way
+of a decimal, so that a tie does not depend on the last bit of a sum).
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ def _ymd(c: str) -> str:
 
 
 def _r8(c: str) -> str:
-    return f"round({c}, 8) AS {c}"
+    return f"cast(round(cast({c} AS DECIMAL(30, 12)), 8) AS DOUBLE) AS {c}"
 
 
 def _mean(c: str, places: int) -> str:
@@ -190,8 +191,8 @@ FROM (SELECT cve_id, description_en, cvss_v31_severity, cvss_v31_base_score, eps
 
 def _trend_columns() -> str:
     return (
-        "count(cve_id) AS new_cves, round(avg(cvss_v31_base_score), 8) AS avg_cvss, "
-        f"round(avg(epss_score), 8) AS avg_epss, {_n('in_cisa_kev')} AS cisa_kev_count, "
+        "count(cve_id) AS new_cves, cast(round(cast(avg(cvss_v31_base_score) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_cvss, "
+        f"cast(round(cast(avg(epss_score) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_epss, {_n('in_cisa_kev')} AS cisa_kev_count, "
         f"{_n('has_public_exploit')} AS exploitable_count"
     )
 
@@ -386,8 +387,8 @@ Q["q_parse_dates"] = _with("raw_kev", f"""
 SELECT cveID, cast({_day('dateAdded')} AS VARCHAR) AS date_added, cast({_day('dueDate')} AS VARCHAR) AS due_date,
   _batch_id FROM raw_kev""")
 Q["q_clamp"] = _with("raw_epss", f"""
-SELECT cve, _batch_id, round({_clamp('try_cast(epss AS DOUBLE)')}, 8) AS epss_score,
-  round({_clamp('try_cast(percentile AS DOUBLE)')}, 8) AS epss_percentile FROM raw_epss""")
+SELECT cve, _batch_id, cast(round(cast({_clamp('try_cast(epss AS DOUBLE)')} AS DECIMAL(30, 12)), 8) AS DOUBLE) AS epss_score,
+  cast(round(cast({_clamp('try_cast(percentile AS DOUBLE)')} AS DECIMAL(30, 12)), 8) AS DOUBLE) AS epss_percentile FROM raw_epss""")
 Q["q_extract_codes"] = _with("raw_exploits", f"""
 SELECT file, id, array_to_string(ids, ',') AS cve_ids, cast(len(ids) AS INTEGER) AS cve_count FROM (
   SELECT file, id, list_filter(string_split(codes, ';'), lambda x: regexp_matches(x, {LOOSE})) AS ids FROM raw_exploits)""")
@@ -466,7 +467,7 @@ Q["q_severity_by_year"] = _with("master", """
 SELECT cast(year(published_ts) AS INTEGER) AS pub_year, cvss_v31_severity, count(cve_id) AS cve_count FROM master GROUP BY 1, 2""")
 Q["q_cwe_trend"] = _with("master", """
 SELECT cast(year(published_ts) AS INTEGER) AS pub_year, primary_cwe, count(cve_id) AS cve_count,
-  round(avg(cvss_v31_base_score), 8) AS avg_cvss FROM master WHERE primary_cwe IS NOT NULL GROUP BY 1, 2""")
+  cast(round(cast(avg(cvss_v31_base_score) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_cvss FROM master WHERE primary_cwe IS NOT NULL GROUP BY 1, 2""")
 Q["q_trends"] = _with("trends", "SELECT * FROM trends")
 
 # Readiness
@@ -475,19 +476,19 @@ Q["q_time_to_exploit"] = _with("readiness", f"""
 SELECT cve_id, {_txt('earliest_exploit_date')}, days_to_exploit AS time_to_exploit_days FROM readiness
 WHERE days_to_exploit IS NOT NULL""")
 Q["q_tte_stats"] = _with("readiness", """
-SELECT count(cve_id) AS cves_with_exploit_timing, round(avg(days_to_exploit), 8) AS avg_days_to_exploit,
+SELECT count(cve_id) AS cves_with_exploit_timing, cast(round(cast(avg(days_to_exploit) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_days_to_exploit,
   quantile_disc(days_to_exploit, 0.5) AS median_days_to_exploit, min(days_to_exploit) AS min_days_to_exploit,
   max(days_to_exploit) AS max_days_to_exploit, quantile_disc(days_to_exploit, 0.25) AS p25_days,
   quantile_disc(days_to_exploit, 0.75) AS p75_days, quantile_disc(days_to_exploit, 0.9) AS p90_days
 FROM readiness WHERE days_to_exploit IS NOT NULL""")
 Q["q_readiness_by_severity"] = _with("master", f"""
 SELECT cvss_v31_severity, count(cve_id) AS total_cves, {_n('has_public_exploit')} AS with_exploit,
-  {_n('has_msf_module')} AS with_msf, {_n('in_cisa_kev')} AS in_kev, round(avg(epss_score), 8) AS avg_epss,
+  {_n('has_msf_module')} AS with_msf, {_n('in_cisa_kev')} AS in_kev, cast(round(cast(avg(epss_score) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_epss,
   {_pct(_n('has_public_exploit'), 'count(cve_id)', 2)} AS exploit_rate_pct,
   {_pct(_n('has_msf_module'), 'count(cve_id)', 2)} AS msf_rate_pct FROM master GROUP BY cvss_v31_severity""")
 Q["q_readiness_by_cwe"] = _with("master", f"""
 SELECT primary_cwe, count(cve_id) AS total_cves, {_n('has_public_exploit')} AS with_exploit,
-  {_n('has_msf_module')} AS with_msf, round(avg(cvss_v31_base_score), 8) AS avg_cvss, round(avg(epss_score), 8) AS avg_epss,
+  {_n('has_msf_module')} AS with_msf, cast(round(cast(avg(cvss_v31_base_score) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_cvss, cast(round(cast(avg(epss_score) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_epss,
   {_pct(_n('has_public_exploit'), 'count(cve_id)', 2)} AS exploit_rate_pct
 FROM master WHERE primary_cwe IS NOT NULL GROUP BY primary_cwe ORDER BY total_cves DESC, primary_cwe LIMIT 20""")
 Q["q_readiness_overview"] = _with("master", f"""
@@ -504,14 +505,14 @@ _CRIT = "cvss_v31_severity = 'CRITICAL'"
 Q["q_mom"] = _with("master", f"""
 SELECT {_n(_CUR)} AS this_month_cves, {_n(_PREV)} AS last_month_cves, {_n(f'{_CUR} AND {_CRIT}')} AS this_month_critical,
   {_n(f'{_PREV} AND {_CRIT}')} AS last_month_critical,
-  round(cast({_n(_CUR)} - {_n(_PREV)} AS DOUBLE) / greatest({_n(_PREV)}, 1) * 100, 8) AS mom_change_pct FROM master""")
+  cast(round(cast(cast({_n(_CUR)} - {_n(_PREV)} AS DOUBLE) / greatest({_n(_PREV)}, 1) * 100 AS DECIMAL(30, 12)), 8) AS DOUBLE) AS mom_change_pct FROM master""")
 _POS = "coalesce(avg({0}) FILTER (WHERE {0} > 0), 0)"
 _D = "cast(published_ts AS DATE)"
 Q["q_kpi_snapshot"] = _with("kpis", f"""
 SELECT count(*) AS total_active_cves, {_n(f"{_D} = DATE '{AS_OF}'")} AS new_cves_today,
   {_n(f"{_D} >= DATE '{AS_OF}' - 7")} AS new_cves_this_week, {_n(f"{_D} >= DATE '{AS_OF}' - 30")} AS new_cves_this_month,
   {_n(f"{_D} >= DATE '{AS_OF}' - 90")} AS new_cves_this_quarter,
-  round({_POS.format('cvss_v31_base_score')}, 8) AS avg_cvss_scored, round({_POS.format('epss_score')}, 8) AS avg_epss_scored,
+  cast(round(cast({_POS.format('cvss_v31_base_score')} AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_cvss_scored, cast(round(cast({_POS.format('epss_score')} AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_epss_scored,
   {_n('epss_score > 0.5')} AS high_epss_count, {_n('has_public_exploit')} AS exploitable_count,
   {_n('has_msf_module')} AS msf_module_count, {_n('in_cisa_kev')} AS cisa_kev_count,
   {_n('is_ransomware_related')} AS ransomware_related_count,
@@ -524,7 +525,7 @@ SELECT count(*) AS total_active_cves, {_n(f"{_D} = DATE '{AS_OF}'")} AS new_cves
   (SELECT count(*) FROM risk WHERE risk_tier = 'LOW') AS low_risk_count,
   {_pct(_n('has_public_exploit'), 'greatest(count(*), 1)', 8)} AS exploitable_pct,
   {_pct(_n('in_cisa_kev'), 'greatest(count(*), 1)', 8)} AS cisa_kev_pct,
-  round(cast({_n(_CUR)} - {_n(_PREV)} AS DOUBLE) / greatest({_n(_PREV)}, 1) * 100, 8) AS mom_change_pct FROM master""")
+  cast(round(cast(cast({_n(_CUR)} - {_n(_PREV)} AS DOUBLE) / greatest({_n(_PREV)}, 1) * 100 AS DECIMAL(30, 12)), 8) AS DOUBLE) AS mom_change_pct FROM master""")
 Q["q_weaponization"] = _with("readiness", f"""
 SELECT {LEVELS}, round(cast(count(*) AS DOUBLE) / (SELECT count(*) FROM readiness) * 100, 1) AS pct_of_total
 FROM readiness GROUP BY weaponization_level""")
@@ -544,7 +545,7 @@ SELECT kpi_name, kpi_value, kpi_type, time_window, cast(computed_date AS VARCHAR
 Q["q_view_kpi_history"] = _with("kpi_runs", f"""
 SELECT kpi_name, kpi_value, kpi_type, {_txt('computed_date')} FROM kpi_runs WHERE computed_date >= DATE '{AS_OF}' - 30""")
 Q["q_view_top_risks"] = _with("risk_runs", f"""
-SELECT cve_id, round(composite_risk_score, 8) AS composite_risk_score, risk_tier, {_r8('cvss_v31_base_score')}, {_r8('epss_score')},
+SELECT cve_id, cast(round(cast(composite_risk_score AS DECIMAL(30, 12)), 8) AS DOUBLE) AS composite_risk_score, risk_tier, {_r8('cvss_v31_base_score')}, {_r8('epss_score')},
   {_r8('epss_percentile')}, in_cisa_kev, is_ransomware_related, has_public_exploit, exploit_count, has_msf_module,
   msf_module_count, vendor_project, product, description_en, {_time('published_ts')}, days_since_published, primary_cwe
 FROM (SELECT * FROM risk_runs WHERE run = (SELECT max(run) FROM risk_runs) AND composite_risk_score > 0.5

@@ -52,7 +52,7 @@ def flat(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, ArrayType):
             c = F.array_join(c, ",")
         elif isinstance(field.dataType, DoubleType):
-            c = F.round(c, 8)
+            c = F.round(F.round(c, 12), 8)  # the inner one settles ties, whatever the last bit
         return c.alias(field.name)
 
     return df.select(*[plain(f) for f in df.schema.fields])
