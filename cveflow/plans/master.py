@@ -80,6 +80,7 @@ def exploit_rollup(exploits: DataFrame, *, inline_limit: int = INLINE_IDS) -> Da
     """Per advisory: exploit count (an id repeated in one record counts each time), ids, platforms,
     types and the earliest date."""
     links = exploit_links(exploits)
+    # The sets in here hold categories, a few dozen words; the ids are listed separately.
     counts = links.groupBy("cve_id").agg(
         F.count("exploit_id").alias("exploit_count"),
         F.sort_array(F.collect_set("platform_clean")).alias("exploit_platforms"),

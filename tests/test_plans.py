@@ -30,7 +30,28 @@ def test_newest_row_is_limited_before_the_shuffle(tables):
 
 def test_latest_epss_from_rows_shuffles_once(tables):
     text = plan(master.latest_epss(clean.epss_rows(tables.raw("epss"))))
-    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("ENSURE_REQUIREMENTS") == 1
+
+
+def test_master_joins_add_no_shuffle(spark, tables):
+    """From stored cleaned tables: one exchange per table for its key, four for each roll-up's lists."""
+    stored = {f: scratch.stored(getattr(tables, f)(), f) for f in ("nvd", "kev", "epss", "exploits", "modules")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(master.build(**stored, as_of=testfeeds.AS_OF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)
+    keys = [re.sub(r"#\d+L?", "", e) for e in exchanges]
+    salted = [k for k in keys if k == "cve_id, _salt"]
+    assert set(keys) == {"cve_id", "cve_id, _salt"} and len(salted) == 4
+    assert len(keys) - len(salted) == 3 + 2 * 3
+
+
+def test_large_inputs_are_not_spread(spark, sf_dir):
+    many = spark.range(0, 100, 1, 64)
+    assert testfeeds.spread(many, ("id",)) is many
+    assert testfeeds.spread(spark.range(0, 100, 1, 1), ("id",)).rdd.getNumPartitions() == 8
 
 
 def test_risk_ranks_in_one_task_only_the_bucket_sizes(tables):
