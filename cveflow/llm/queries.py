@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cveflow.llm import exact_dedup, pii
+from cveflow.llm import exact_dedup, piece_codec, pii, token_counts
 from cveflow.llm.frames import texts
 
 
@@ -12,7 +13,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids and decoded text of every document, as digests."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = piece_codec.encode(_table(spark, sf_dir, "documents"), path, decoded=True)
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    counted = token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts of the base kinds and all spans."""
     found = pii.find_pii(texts(_table(spark, sf_dir, "documents")))
     base = pii.of_kind(F.col("pii"), *pii.BASE)
     counts = [F.size(pii.of_kind(F.col("pii"), k)).cast("bigint").alias(f"n_{k}") for k in pii.BASE]
@@ -21,10 +39,12 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document that stays for every document."""
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_pii, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_piece_codec, op3_pii, op7_token_counts, op9_exact_dedup)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
