@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cveflow.llm import exact_dedup, piece_codec, pii, token_counts
+from cveflow.llm import exact_dedup, piece_codec, pii, token_counts, toxicity
 from cveflow.llm.frames import texts
 
 
@@ -38,13 +38,18 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *counts, F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text(F.col("pii")).alias("spans"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document that stays for every document."""
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_piece_codec, op3_pii, op7_token_counts, op9_exact_dedup)}
+    op1_piece_codec, op3_pii, op7_token_counts, op8_toxicity, op9_exact_dedup)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
