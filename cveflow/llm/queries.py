@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cveflow.llm import exact_dedup, packing, piece_codec, pii, token_counts, toxicity
+from cveflow.llm import exact_dedup, near_dups, packing, piece_codec, pii, token_counts, toxicity
 from cveflow.llm.frames import texts
 
 
@@ -23,6 +23,11 @@ def op1_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with a similarity of 0.85 or more."""
+    return near_dups.near_duplicates(_table(spark, sf_dir, "documents"), 0.85)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch and place of every document."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
@@ -54,7 +59,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_piece_codec, op3_pii, op6_packing, op7_token_counts, op8_toxicity, op9_exact_dedup)}
+    op1_piece_codec, op3_pii, op5_near_dups, op6_packing, op7_token_counts, op8_toxicity, op9_exact_dedup)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
