@@ -67,9 +67,9 @@ def sets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def minima(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     """MinHash: for each non-empty set (row) and each of ``n`` hash functions the smallest value."""
-    rng = np.random.default_rng(13)
-    factors = rng.integers(0, 2**64, n, dtype=np.uint64) | np.uint64(1)
-    shifts = rng.integers(0, 2**64, n, dtype=np.uint64)
+    # the first functions are the same whatever n is
+    factors = np.random.default_rng(13).integers(0, 2**64, n, dtype=np.uint64) | np.uint64(1)
+    shifts = np.random.default_rng(14).integers(0, 2**64, n, dtype=np.uint64)
     starts = at[:-1][np.diff(at) > 0]
     out = np.empty((len(starts), n), np.uint32)
     for k in range(n):
