@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cveflow.llm import exact_dedup, near_dups, packing, piece_codec, pii, token_counts, toxicity
-from cveflow.llm.frames import texts
+from cveflow.llm import exact_dedup, language_crf, near_dups, packing, piece_codec, pii, token_counts, toxicity
+from cveflow.llm.frames import held_out, texts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,8 +58,15 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    found = language_crf.identify(docs, language_crf.train(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_piece_codec, op3_pii, op5_near_dups, op6_packing, op7_token_counts, op8_toxicity, op9_exact_dedup)}
+    op1_piece_codec, op3_pii, op5_near_dups, op6_packing, op7_token_counts, op8_toxicity, op9_exact_dedup, op10_language)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
