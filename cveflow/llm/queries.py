@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cveflow.llm import exact_dedup, language_crf, near_dups, packing, piece_codec, pii, token_counts, toxicity
+from cveflow.llm import collision_search, exact_dedup, language_crf, near_dups, packing, piece_codec, pii, token_counts, toxicity
 from cveflow.llm.frames import held_out, texts
 
 
@@ -23,6 +23,11 @@ def op1_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth one."""
+    return collision_search.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with a similarity of 0.85 or more."""
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"), 0.85)
@@ -66,7 +71,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_piece_codec, op3_pii, op5_near_dups, op6_packing, op7_token_counts, op8_toxicity, op9_exact_dedup, op10_language)}
+    op1_piece_codec, op3_pii, op4_collision_search, op5_near_dups, op6_packing, op7_token_counts, op8_toxicity, op9_exact_dedup, op10_language)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
