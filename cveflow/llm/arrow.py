@@ -11,14 +11,14 @@ import pyarrow as pa
 SLICE_BYTES = 1 << 21
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with at most ``limit`` bytes of text, or one row."""
+def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch with at most ``rows`` rows and ``limit`` bytes of text, or one row."""
     column = batch.column(batch.schema.get_field_index(text))
     ends = np.cumsum(np.diff(offsets(column)))
     at = 0
     while at < batch.num_rows:
         done = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
+        to = min(at + rows, max(at + 1, int(np.searchsorted(ends, done + limit, "right"))))
         yield batch.slice(at, to - at)
         at = to
 

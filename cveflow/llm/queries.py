@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cveflow.llm import collision_search, exact_dedup, language_crf, near_dups, packing, piece_codec, pii, token_counts, toxicity
+from cveflow.llm import co_training, collision_search, exact_dedup, language_crf, near_dups, packing, piece_codec, pii, token_counts, toxicity
 from cveflow.llm.frames import held_out, texts
 
 
@@ -44,6 +44,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by both views and together."""
+    return co_training.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts of the base kinds and all spans."""
     found = pii.find_pii(texts(_table(spark, sf_dir, "documents")))
@@ -71,7 +76,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_piece_codec, op3_pii, op4_collision_search, op5_near_dups, op6_packing, op7_token_counts, op8_toxicity, op9_exact_dedup, op10_language)}
+    op1_piece_codec, op2_quality, op3_pii, op4_collision_search, op5_near_dups, op6_packing, op7_token_counts, op8_toxicity, op9_exact_dedup, op10_language)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
