@@ -1,36 +1,66 @@
-"""Documents to training batches: the stages in order, each a function of (spark, documents, table folder)."""
+"""Documents to training batches: the stages in order, each a function of (spark, documents, table folder).
+
+Every stage reads all that the one before it kept.  All but the last return the columns of ``documents``.
+Extra columns are dropped.  An empty table passes through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cveflow.llm import exact_dedup, pii
+from cveflow.llm import exact_dedup, near_dups, packing, pii
+from cveflow.llm import toxicity as toxic
 from cveflow.scratch import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the ids in ``gone``; documents with a null id stay."""
+    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learnt from ``labels``, doesn't call toxic."""
+    scored = toxic.toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return without(docs, scored.where("predicted = 1 and doc_id is not null"))
+
+
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal up to white space, the document with the smallest id."""
-    gone = exact_dedup.exact_groups(docs).where(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return without(docs, exact_dedup.exact_groups(docs).where(~F.col("kept")))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by similar shingles, the one with the smallest id."""
+    return without(docs, near_dups.near_duplicates(docs).where(~F.col("kept")))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, personal data replaced by its kind; ``n_chars`` follows the text."""
-    cleaned = pii.find_pii(docs).withColumn("text", pii.redacted(F.col("text"), F.col("pii")))
-    return cleaned.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+    """Every document, personal data replaced by its kind; ``n_chars`` follows the text where it changed."""
+    found = pii.find_pii(docs.select(*COLUMNS))
+    changed = F.size("pii") > 0
+    cleaned = found.withColumn("text", pii.redacted(F.col("text"), F.col("pii")))
+    return cleaned.withColumn("n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Batch and place of every document."""
+    return packing.pack_documents(docs)
+
 
+STAGES = [
+    ("toxicity", without_toxic), ("exact_dedup", without_copies), ("near_dedup", without_near_copies),
+    ("pii", without_personal_data), ("packing", packed),
+]
 
-STAGES = [("exact_dedup", without_copies), ("pii", without_personal_data)]
+#: A classifier and a sketch with chance misses have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages; each one's result is written before the next reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = stored(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
