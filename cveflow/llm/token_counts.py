@@ -42,7 +42,8 @@ def frequent_pieces(text: DataFrame, table: int = TABLE, tracked: int = TRACKED)
     pieces = text.select(piece).where((F.length("piece").between(1, PIECE_CHARS)) & ~F.contains("piece", F.lit("\n")))
     parts = pieces.groupBy((F.spark_partition_id() % MERGES).alias("part")).agg(
         F.expr(f"approx_top_k_accumulate(piece, {tracked})").alias("sketch"))
-    top = parts.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {table})").alias("top"))
+    # grouped, as a task without sketches must not send an empty one
+    top = parts.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {table})").alias("top"))
     return [r.piece for r in top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("piece")).collect() if r.piece]
 
 
