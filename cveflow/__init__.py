@@ -1,8 +1,8 @@
 """Security-advisory analytics on Spark DataFrames.
 
 Every transform is ``DataFrame -> DataFrame``: it takes its clock and batch id as
-arguments, runs no job and collects nothing.  Only ``sinks``, ``daily.run``, ``scratch.stored``,
-``feeds.top_up`` and ``ingest`` start jobs.
+arguments, runs no job and collects nothing.  Only ``sinks``, ``daily.run``, ``scratch.stored``
+and ``ingest`` start jobs.
 """
 
 from cveflow import daily, schema, scratch, sinks

@@ -1,4 +1,4 @@
-"""One daily run: raw tables in, cleaned tables, marts and KPI history out."""
+"""One daily run: raw tables in, cleaned tables, marts and KPI history out, as folders or as catalog tables."""
 
 from __future__ import annotations
 
@@ -58,9 +58,61 @@ def run(
         "master", master.build(**tables, as_of=as_of, now=now, tiebreak=tiebreak), "cve_id"
     )
     scored = store_mart("risk", risk.score(wide, as_of=as_of, now=now), "composite_risk_score")
+    store("exploit_ids", v.run_date(master.exploit_ids(tables["exploits"]), as_of))
+    store("module_names", v.run_date(master.module_names(tables["modules"]), as_of))
     store("trends", trends.combined(wide, as_of=as_of, now=now))
     store("readiness", readiness.build(wide, as_of=as_of, now=now))
     paths["kpis"] = f"{root.rstrip('/')}/kpis"
     long = kpis.to_long(kpis.snapshot(wide, scored, as_of=as_of), as_of=as_of, now=now)
     sinks.append(long, paths["kpis"])
     return paths
+
+
+def run_tables(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    database: str,
+    *,
+    as_of: dt.date | str,
+    now: dt.datetime | str | None = None,
+    tiebreak: list[str] | None = None,
+) -> list[str]:
+    """One run into the catalog tables of ``database``, which are created if absent and merged into otherwise.
+
+    ``raw`` needs only the rows that came since the last run.  Returns the names of all tables.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names: list[str] = []
+
+    def table(name: str) -> str:
+        names.append(f"{database}.{name}")
+        return names[-1]
+
+    def swap(name: str, df: DataFrame) -> DataFrame:
+        target = table(name)
+        following = f"{target}__next"
+        spark.sql(f"DROP TABLE IF EXISTS {following}")
+        sinks.overwrite(df, following, rebalance=True)
+        sinks.take_over(spark, following, target)
+        return spark.table(target).select(*df.columns)
+
+    def cleaned(feed: str) -> DataFrame:
+        if not sinks.exists(spark, f"{database}.{feed}"):
+            return getattr(clean, feed)(raw[feed], tiebreak=tiebreak)
+        old = spark.table(f"{database}.{feed}").select(*CLEAN[feed].names)
+        return clean.update(feed, old, raw[feed], tiebreak=tiebreak)
+
+    def merged(name: str, df: DataFrame, cluster_by: str) -> DataFrame:
+        sinks.merge_table(df, table(name), ["cve_id"], cluster_by=cluster_by)
+        return spark.table(names[-1]).select(*df.columns)
+
+    tables = {feed: swap(feed, cleaned(feed)) for feed in CLEAN}
+    wide = merged("master", master.build(**tables, as_of=as_of, now=now, tiebreak=tiebreak), "cve_id")
+    scored = merged("risk", risk.score(wide, as_of=as_of, now=now), "composite_risk_score")
+    swap("exploit_ids", v.run_date(master.exploit_ids(tables["exploits"]), as_of))
+    swap("module_names", v.run_date(master.module_names(tables["modules"]), as_of))
+    swap("trends", trends.combined(wide, as_of=as_of, now=now))
+    swap("readiness", readiness.build(wide, as_of=as_of, now=now))
+    long = kpis.to_long(kpis.snapshot(wide, scored, as_of=as_of), as_of=as_of, now=now)
+    sinks.append(long, table("kpis"))
+    return names

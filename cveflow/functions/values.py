@@ -18,9 +18,13 @@ def day(c: Column, fmt: str = "yyyy-MM-dd") -> Column:
     return F.try_to_date(c, fmt)
 
 
+def clamp(c: Column, top: float) -> Column:
+    """Into [0, top]; NULL stays NULL, NaN sorts above ``top`` and becomes that."""
+    return F.when(c > top, top).when(c < 0.0, 0.0).otherwise(c)
+
+
 def clamp01(c: Column) -> Column:
-    """Into [0, 1]; NULL stays NULL, NaN sorts above 1 and becomes 1."""
-    return F.when(c > 1.0, 1.0).when(c < 0.0, 0.0).otherwise(c)
+    return clamp(c, 1.0)
 
 
 def lower_trim(c: Column) -> Column:
@@ -68,13 +72,19 @@ def count_where(cond: Column) -> Column:
     return F.count_if(cond)
 
 
-def mean(c: Column, places: int) -> Column:
-    """Average rounded half up.
+def exact(c: Column) -> Column:
+    """A number as a decimal, whose sums don't depend on how the rows were partitioned."""
+    return c.cast("decimal(30,15)")
+
 
-    The inner rounding removes the last-bit noise of a floating-point sum, so that the result
-    does not depend on how the rows were partitioned.
-    """
-    return F.round(F.round(F.avg(c), 9), places)
+def average(c: Column) -> Column:
+    """Average from an exact sum."""
+    return F.avg(exact(c)).cast("double")
+
+
+def mean(c: Column, places: int) -> Column:
+    """Average rounded half up, once."""
+    return F.round(F.avg(exact(c)), places).cast("double")
 
 
 def percent(part: Column, whole: Column, places: int) -> Column:

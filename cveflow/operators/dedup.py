@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def latest_by(
@@ -29,48 +29,24 @@ def latest_by(
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
-def _bucket(c: Column, lo: float, hi: float, buckets: int) -> Column:
-    """Monotone bucket number in [-2, buckets]: NULL lowest, then out-of-range ends clipped."""
-    scaled = (c - F.lit(float(lo))) / F.lit(float(hi - lo)) * buckets
-    clipped = F.greatest(F.lit(-1.0), F.least(F.lit(float(buckets)), F.floor(scaled).cast("double")))
-    number = F.when(F.isnan(c), buckets).otherwise(clipped.cast("int"))
-    return F.coalesce(F.when(c.isNotNull(), number), F.lit(-2))
+def dense_ranks(df: DataFrame, col: str, out: str, *, most: int, desc: bool = True) -> DataFrame:
+    """``(col, out)``: the dense rank of every distinct value, of which there are at most ``most``.
 
-
-def dense_ranks(
-    df: DataFrame, col: str, out: str, *, lo: float, hi: float, buckets: int = 128, desc: bool = True
-) -> DataFrame:
-    """``(col, out)``: the dense rank of every distinct value.
-
-    Values are ranked inside value ranges in parallel, and each range adds the number of distinct
-    values before it.  Only the range sizes, at most ``buckets + 3`` rows, meet in one task.
-    ``lo`` and ``hi`` are where most values lie; values outside still rank exactly.
+    Values are folded in every task before they meet, so ``most`` bounds what is sorted in one
+    task; the job fails if the caller's bound doesn't hold.
     """
-    distinct = df.select(F.col(col).cast("double").alias(col)).distinct().withColumn(
-        "_bucket", _bucket(F.col(col), lo, hi, buckets)
-    )
-    by_value = F.col(col).desc_nulls_last() if desc else F.col(col).asc_nulls_first()
-    by_bucket = F.col("_bucket").desc() if desc else F.col("_bucket").asc()
-    inside = distinct.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_bucket").orderBy(by_value))
-    )
-    before = Window.orderBy(by_bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = distinct.groupBy("_bucket").agg(F.count("*").alias("_size")).select(
-        "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
-    )
-    return inside.join(F.broadcast(offsets), "_bucket").select(
-        col, (F.col("_before") + F.col("_local")).cast("int").alias(out)
+    order = F.col(col).desc_nulls_last() if desc else F.col(col).asc_nulls_first()
+    rank = F.row_number().over(Window.orderBy(order))
+    message = F.lit(f"more than {most} values of {col}")
+    return df.groupBy(F.col(col)).agg(F.count("*").alias("_rows")).select(
+        col, F.when(rank > most, F.raise_error(message).cast("int")).otherwise(rank).alias(out)
     )
 
 
-def dense_rank_by_value(
-    df: DataFrame, col: str, out: str, *, lo: float, hi: float, buckets: int = 128, desc: bool = True
-) -> DataFrame:
-    """``dense_rank() over (order by col)`` without moving the rows into one partition.
+def dense_rank_by_value(df: DataFrame, col: str, out: str, *, most: int, desc: bool = True) -> DataFrame:
+    """``dense_rank() over (order by col)`` without moving the rows.
 
-    The join back is left to adaptive execution: it broadcasts the ranks when their measured size
-    allows it and splits skewed partitions of a sort-merge join otherwise.
+    The ranks of at most ``most`` values are broadcast to them.
     """
-    ranks = dense_ranks(df, col, out, lo=lo, hi=hi, buckets=buckets, desc=desc)
-    ranks = ranks.withColumnRenamed(col, "_value")
-    return df.join(ranks, F.col(col).eqNullSafe(F.col("_value")), "left").drop("_value")
+    ranks = dense_ranks(df, col, out, most=most, desc=desc).withColumnRenamed(col, "_value")
+    return df.join(F.broadcast(ranks), F.col(col).eqNullSafe(F.col("_value")), "left").drop("_value")

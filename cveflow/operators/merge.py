@@ -3,26 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cveflow.operators.dedup import latest_by
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same rows; the job fails if a key occurs twice.
-
-    At most two rows per key and input partition pass the shuffle, so a key repeated many times
-    fails fast instead of filling one task.
-    """
-    window = Window.partitionBy(*keys).orderBy(F.lit(1))
-    numbered = df.withColumn("_rn", F.row_number().over(window)).where("_rn <= 2")
+def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of ``df``; the job fails if one occurs twice.  Only the key columns are shuffled."""
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     message = F.concat(
         F.lit(f"duplicate source key ({', '.join(keys)}): "),
         F.to_json(F.struct(*[F.col(k) for k in keys])),
     )
-    checked = F.when(F.col("_rn") > 1, F.raise_error(message).cast("int")).otherwise(F.col("_rn"))
-    return numbered.withColumn("_rn", checked).where("_rn = 1").drop("_rn")
+    once = F.when(F.col("_n") > 1, F.raise_error(message).cast("bigint")).otherwise(F.col("_n")) == 1
+    return counted.where(once).select(*keys)
 
 
 def upsert(
@@ -38,8 +35,16 @@ def upsert(
     fails the job.  ``target=None`` is the first load.  Write the result to a new path, never
     over the one being read.
     """
-    source = latest_by(source, keys, order_cols) if order_cols else require_unique(source, keys)
+    if order_cols:
+        source = latest_by(source, keys, order_cols)
+        replaced = source.select(*keys)
+    else:
+        replaced = unique_keys(source, keys)
     if target is None:
-        return source
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+        if order_cols:
+            return source
+        # the first load only checks the keys
+        same = reduce(and_, [F.col(f"s.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys])
+        return source.alias("s").join(replaced.alias("k"), same, "left_semi")
+    kept = target.join(replaced, list(keys), "left_anti")
     return source.unionByName(kept.select(*target.columns))

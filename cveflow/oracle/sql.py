@@ -1,8 +1,8 @@
 """The same results in DuckDB SQL, one statement per query key.
 
 Written from the semantics, not from the Spark plans: plain casts, windows and joins.  Dates and
-times come out as text, lists joined with commas, unrounded doubles rounded to eight places (by way
-of a decimal, so that a tie does not depend on the last bit of a sum).
+times come out as text, lists joined with commas, unrounded doubles rounded to eight places; averages
+are exact and rounded once.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ AS_OF = testfeeds.AS_OF
 FIRST_RUN = "2001-08-01"
 SPLIT_NEW, SPLIT_CHANGED = "2001-01-01", "1999-01-01"
 KPI_DAYS = ("2001-06-01", "2001-07-20", AS_OF)
-PLAN_SINCE, PLAN_PAGE = "2000-01-01", 200
 
 STRICT = r"'^CVE-\d{4}-\d{4,}$'"
 LOOSE = "'^CVE-[0-9]{4}-[0-9]+$'"
@@ -53,11 +52,15 @@ def _ymd(c: str) -> str:
 
 
 def _r8(c: str) -> str:
-    return f"cast(round(cast({c} AS DECIMAL(30, 12)), 8) AS DOUBLE) AS {c}"
+    return f"round({c}, 8) AS {c}"
 
 
-def _mean(c: str, places: int) -> str:
-    return f"cast(round(cast(avg({c}) AS DECIMAL(18, 9)), {places}) AS DOUBLE)"
+def _mean(c: str, places: int, where: str = "") -> str:
+    """Average rounded half up once, in whole numbers; values are not negative and have at most nine places."""
+    only = f" FILTER (WHERE {where})" if where else ""
+    total = f"cast(sum(cast({c} AS DECIMAL(18, 9))){only} * 1000000000 AS HUGEINT)"
+    unit = f"(cast(count({c}){only} AS HUGEINT) * {10 ** (9 - places)})"
+    return f"cast((2 * {total} + {unit}) // (2 * {unit}) AS DOUBLE) / {10 ** places}"
 
 
 def _n(cond: str) -> str:
@@ -92,9 +95,9 @@ SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY cve_id
 CTE["kev_rows"] = f"""
 SELECT upper(trim(cveID)) AS cve_id, trim(vendorProject) AS vendor_project, trim(product) AS product,
   trim(vulnerabilityName) AS vulnerability_name, {_day('dateAdded')} AS date_added,
-  '' AS short_description, trim(requiredAction) AS required_action, {_day('dueDate')} AS due_date,
+  trim(shortDescription) AS short_description, trim(requiredAction) AS required_action, {_day('dueDate')} AS due_date,
   coalesce(lower(knownRansomwareCampaignUse) = 'known', false) AS is_ransomware_related,
-  '' AS notes, cast(NULL AS DATE) AS date_released, _ingested_at, _batch_id
+  notes, {_day('substring(dateReleased, 1, 10)')} AS date_released, _ingested_at, _batch_id
 FROM raw_kev WHERE regexp_matches(upper(trim(cveID)), {STRICT})"""
 CTE["kev"] = f"""
 SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY {NEWEST}) AS rn
@@ -138,12 +141,10 @@ CTE["module_links"] = """
 SELECT unnest(cve_ids) AS cve_id, fullname, title AS msf_title, module_type, rank_label, rank_numeric,
   disclosure_date_dt FROM modules"""
 CTE["exploit_agg"] = """
-SELECT cve_id, count(exploit_id) AS exploit_count, list_sort(list(DISTINCT exploit_id)) AS exploit_ids,
-  list_sort(list(DISTINCT platform_clean)) AS exploit_platforms, list_sort(list(DISTINCT exploit_type)) AS exploit_types,
+SELECT cve_id, count(exploit_id) AS exploit_count, list_sort(list(DISTINCT platform_clean)) AS exploit_platforms, list_sort(list(DISTINCT exploit_type)) AS exploit_types,
   min(date_published_dt) AS earliest_exploit_date FROM exploit_links GROUP BY cve_id"""
 CTE["module_agg"] = """
-SELECT cve_id, count(fullname) AS msf_module_count, list_sort(list(DISTINCT fullname)) AS msf_module_names,
-  list_sort(list(DISTINCT module_type)) AS msf_module_types, max(rank_numeric) AS msf_max_rank
+SELECT cve_id, count(fullname) AS msf_module_count, list_sort(list(DISTINCT module_type)) AS msf_module_types, max(rank_numeric) AS msf_max_rank
 FROM module_links GROUP BY cve_id"""
 CTE["epss_latest"] = """
 SELECT cve_id, epss_score, epss_percentile, score_date AS epss_score_date FROM (
@@ -156,9 +157,9 @@ SELECT n.cve_id, n.sourceIdentifier, n.published_ts, n.last_modified_ts, n.vulnS
   k.date_added, k.due_date, coalesce(k.is_ransomware_related, false) AS is_ransomware_related,
   k.required_action, k.cve_id IS NOT NULL AS in_cisa_kev,
   coalesce(e.epss_score, 0.0::DOUBLE) AS epss_score, coalesce(e.epss_percentile, 0.0::DOUBLE) AS epss_percentile,
-  e.epss_score_date, coalesce(x.exploit_count, 0) AS exploit_count, x.exploit_ids, x.exploit_platforms,
+  e.epss_score_date, coalesce(x.exploit_count, 0) AS exploit_count, x.exploit_platforms,
   x.exploit_types, x.earliest_exploit_date, coalesce(m.msf_module_count, 0) AS msf_module_count,
-  m.msf_module_names, m.msf_module_types, coalesce(m.msf_max_rank, 0) AS msf_max_rank,
+  m.msf_module_types, coalesce(m.msf_max_rank, 0) AS msf_max_rank,
   coalesce(x.exploit_count, 0) > 0 AS has_public_exploit, coalesce(m.msf_module_count, 0) > 0 AS has_msf_module,
   cast(DATE '{AS_OF}' - cast(n.published_ts AS DATE) AS INTEGER) AS days_since_published
 FROM nvd n LEFT JOIN kev k USING (cve_id) LEFT JOIN epss_latest e USING (cve_id)
@@ -191,8 +192,8 @@ FROM (SELECT cve_id, description_en, cvss_v31_severity, cvss_v31_base_score, eps
 
 def _trend_columns() -> str:
     return (
-        "count(cve_id) AS new_cves, cast(round(cast(avg(cvss_v31_base_score) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_cvss, "
-        f"cast(round(cast(avg(epss_score) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_epss, {_n('in_cisa_kev')} AS cisa_kev_count, "
+        f"count(cve_id) AS new_cves, {_mean('cvss_v31_base_score', 8)} AS avg_cvss, "
+        f"{_mean('epss_score', 8)} AS avg_epss, {_n('in_cisa_kev')} AS cisa_kev_count, "
         f"{_n('has_public_exploit')} AS exploitable_count"
     )
 
@@ -230,15 +231,17 @@ def _kpis(day: str) -> str:
     back = {n: since(d - dt.timedelta(days=n)) for n in (7, 30, 90)}
     tier = "(SELECT count(*) FROM risk WHERE risk_tier = '{}') + 0 * count(*)"
     previous = f"{since(last)} AND cast(published_ts AS DATE) < DATE '{this}'"
-    avg = "cast(round(cast(coalesce(avg({0}) FILTER (WHERE {0} > 0), 0) AS DECIMAL(18, 9)), {1}) AS DOUBLE)"
+    def avg(c: str, places: int) -> str:
+        return f"coalesce({_mean(c, places, f'{c} > 0')}, 0)"
+
     rows = [
         ("total_active_cves", "count(*)", "count", "all_time"),
         ("new_cves_today", _n(f"cast(published_ts AS DATE) = DATE '{d}'"), "count", "daily"),
         ("new_cves_this_week", _n(back[7]), "count", "weekly"),
         ("new_cves_this_month", _n(back[30]), "count", "monthly"),
         ("new_cves_this_quarter", _n(back[90]), "count", "quarterly"),
-        ("avg_cvss_scored", avg.format("cvss_v31_base_score", 2), "score", "all_time"),
-        ("avg_epss_scored", avg.format("epss_score", 5), "score", "all_time"),
+        ("avg_cvss_scored", avg("cvss_v31_base_score", 2), "score", "all_time"),
+        ("avg_epss_scored", avg("epss_score", 5), "score", "all_time"),
         ("high_epss_count", _n("epss_score > 0.5"), "count", "all_time"),
         ("critical_risk_count", tier.format("CRITICAL"), "count", "all_time"),
         ("high_risk_count", tier.format("HIGH"), "count", "all_time"),
@@ -319,43 +322,44 @@ LEVELS = f"""weaponization_level, count(*) AS cve_count, {_mean('cvss_v31_base_s
   {_mean('epss_score', 5)} AS avg_epss, {_n('in_cisa_kev')} AS in_kev"""
 MASTER_COLUMNS = f"""{NVD_COLUMNS}, vendor_project, product, vulnerability_name, {_txt('date_added')}, {_txt('due_date')},
   is_ransomware_related, required_action, in_cisa_kev, {_r8('epss_score')}, {_r8('epss_percentile')},
-  {_txt('epss_score_date')}, exploit_count, {_list('exploit_ids')}, {_list('exploit_platforms')},
-  {_list('exploit_types')}, {_txt('earliest_exploit_date')}, msf_module_count, {_list('msf_module_names')},
-  {_list('msf_module_types')}, msf_max_rank, has_public_exploit, has_msf_module, days_since_published"""
+  {_txt('epss_score_date')}, exploit_count, {_list('exploit_platforms')},
+  {_list('exploit_types')}, {_txt('earliest_exploit_date')}, msf_module_count, {_list('msf_module_types')}, msf_max_rank, has_public_exploit, has_msf_module, days_since_published"""
 READINESS_COLUMNS = f"""cve_id, description_en, cvss_v31_severity, {_r8('cvss_v31_base_score')}, {_r8('epss_score')},
   primary_cwe, {_time('published_ts')}, {_txt('earliest_exploit_date')}, has_public_exploit, exploit_count,
   has_msf_module, msf_module_count, weaponization_level, in_cisa_kev, days_to_exploit, t2e_category"""
 STEP = 119
-WINDOW_NUMBER = (
-    f"cast(floor((epoch(least(ts, TIMESTAMP '{AS_OF}' - INTERVAL 1 SECOND)) - epoch(TIMESTAMP '{PLAN_SINCE}')) / ({STEP} * 86400)) AS INTEGER)"
-)
-
 Q: dict[str, str] = {}
 
 # Sources
 Q["q_read_nvd"] = _with("raw_nvd", """
 SELECT id, sourceIdentifier, published, lastModified, vulnStatus, descriptions, metrics, weaknesses,
-  refs AS "references" FROM raw_nvd""")
+  refs AS "references", '[]' AS cveTags, '[]' AS configurations FROM raw_nvd""")
 Q["q_read_kev"] = _with("raw_kev", """
 SELECT cveID, vendorProject, product, vulnerabilityName, dateAdded, requiredAction, dueDate,
-  knownRansomwareCampaignUse, '2001.08.02' AS catalogVersion, '2001-08-02T00:00:00.000Z' AS dateReleased FROM raw_kev""")
+  knownRansomwareCampaignUse, shortDescription, notes, catalogVersion, dateReleased, cast(count(*) OVER (
+    PARTITION BY catalogVersion, dateReleased, cast(regexp_extract(cveID, '([0-9]+)$', 1) AS BIGINT) // 1000) AS VARCHAR) AS "count"
+FROM raw_kev""")
 Q["q_read_epss"] = _with("raw_epss", """
-SELECT cve, epss, percentile, cast(date_trunc('month', cast(date AS DATE)) AS DATE)::VARCHAR AS date FROM raw_epss""")
+SELECT cve, epss, percentile, date FROM raw_epss""")
 Q["q_read_exploits"] = _with("raw_exploits", """
 SELECT id, file, description, date_published, author, platform, type, port, codes FROM raw_exploits""")
 Q["q_read_modules"] = _with("raw_modules", """
 SELECT fullname, name, title, rank, disclosure_date, type, platform, mod_time, author, refs AS "references",
-  '[]' AS aliases, '{}' AS notes, '' AS path FROM raw_modules""")
+  '[]' AS aliases, '[]' AS arch, '[]' AS autofilter_ports, '[]' AS autofilter_services, '[]' AS targets, '{}' AS notes,
+  '[]' AS session_types, '[]' AS actions, '' AS rport, '' AS path, '' AS is_install_path, '' AS ref_name, '' AS "check",
+  '' AS post_auth, '' AS default_credential, '' AS needs_cleanup, '' AS description FROM raw_modules""")
 Q["q_stamp"] = _with("raw_epss", f"""
 SELECT cve, epss, percentile, date, '{AS_OF} 06:30:00' AS _ingested_at, 'epss_api' AS _source, 'batch-1' AS _batch_id,
   2001 AS year, 8 AS month, 2 AS day FROM raw_epss""")
 Q["q_plan_windows"] = _with("raw_nvd", f"""
-, w AS (SELECT i, TIMESTAMP '{PLAN_SINCE}' + to_days(cast(i * {STEP} AS INTEGER)) AS window_start,
-         least(TIMESTAMP '{PLAN_SINCE}' + to_days(cast((i + 1) * {STEP} AS INTEGER)), TIMESTAMP '{AS_OF}') AS window_end
-       FROM range(0, cast(ceil(date_diff('day', DATE '{PLAN_SINCE}', DATE '{AS_OF}') / {STEP}.0) AS BIGINT)) t(i)),
-c AS (SELECT {WINDOW_NUMBER} AS i, count(*) AS total FROM (SELECT cast(lastModified AS TIMESTAMP) AS ts FROM raw_nvd)
-      WHERE ts >= TIMESTAMP '{PLAN_SINCE}' AND ts <= TIMESTAMP '{AS_OF}' GROUP BY 1)
-SELECT {_time('window_start')}, {_time('window_end')}, total, unnest(range(0, total, {PLAN_PAGE})) AS "offset"
+, m AS (SELECT cast(lastModified AS TIMESTAMP) AS ts FROM raw_nvd),
+s AS (SELECT cast(cast(min(ts) AS DATE) AS TIMESTAMP) AS since FROM m),
+w AS (SELECT i, since + to_days(cast(i * {STEP} AS INTEGER)) AS window_start,
+        least(since + to_days(cast((i + 1) * {STEP} AS INTEGER)), TIMESTAMP '{AS_OF}') AS window_end
+      FROM (SELECT since, unnest(range(0, cast(ceil(date_diff('day', since, TIMESTAMP '{AS_OF}') / {STEP}.0) AS BIGINT))) AS i FROM s)),
+c AS (SELECT cast(floor((epoch(least(ts, TIMESTAMP '{AS_OF}' - INTERVAL 1 SECOND)) - epoch(since)) / ({STEP} * 86400)) AS BIGINT) AS i,
+        count(*) AS total FROM m, s WHERE ts <= TIMESTAMP '{AS_OF}' GROUP BY 1)
+SELECT {_time('window_start')}, {_time('window_end')}, total, unnest(range(0, total, 2000)) AS "offset"
 FROM w JOIN c USING (i)""")
 Q["q_high_water"] = _with("raw_nvd", """
 SELECT max(lastModified) AS high_water_mark FROM raw_nvd WHERE _source <> 'synthetic'""")
@@ -387,8 +391,8 @@ Q["q_parse_dates"] = _with("raw_kev", f"""
 SELECT cveID, cast({_day('dateAdded')} AS VARCHAR) AS date_added, cast({_day('dueDate')} AS VARCHAR) AS due_date,
   _batch_id FROM raw_kev""")
 Q["q_clamp"] = _with("raw_epss", f"""
-SELECT cve, _batch_id, cast(round(cast({_clamp('try_cast(epss AS DOUBLE)')} AS DECIMAL(30, 12)), 8) AS DOUBLE) AS epss_score,
-  cast(round(cast({_clamp('try_cast(percentile AS DOUBLE)')} AS DECIMAL(30, 12)), 8) AS DOUBLE) AS epss_percentile FROM raw_epss""")
+SELECT cve, _batch_id, round({_clamp('try_cast(epss AS DOUBLE)')}, 8) AS epss_score,
+  round({_clamp('try_cast(percentile AS DOUBLE)')}, 8) AS epss_percentile FROM raw_epss""")
 Q["q_extract_codes"] = _with("raw_exploits", f"""
 SELECT file, id, array_to_string(ids, ',') AS cve_ids, cast(len(ids) AS INTEGER) AS cve_count FROM (
   SELECT file, id, list_filter(string_split(codes, ';'), lambda x: regexp_matches(x, {LOOSE})) AS ids FROM raw_exploits)""")
@@ -432,11 +436,13 @@ SELECT cve_id, exploit_id, exploit_description, {_txt('date_published_dt')}, exp
   exploit_type, port_num FROM exploit_links""")
 Q["q_explode_modules"] = _with("module_links", f"""
 SELECT cve_id, fullname, msf_title, module_type, rank_label, rank_numeric, {_txt('disclosure_date_dt')} FROM module_links""")
+Q["q_exploit_ids"] = _with("exploit_links", "SELECT DISTINCT cve_id, exploit_id FROM exploit_links")
+Q["q_module_names"] = _with("module_links", "SELECT DISTINCT cve_id, fullname FROM module_links")
 Q["q_exploit_rollup"] = _with("exploit_agg", f"""
-SELECT cve_id, exploit_count, {_list('exploit_ids')}, {_list('exploit_platforms')}, {_list('exploit_types')},
+SELECT cve_id, exploit_count, {_list('exploit_platforms')}, {_list('exploit_types')},
   {_txt('earliest_exploit_date')} FROM exploit_agg""")
 Q["q_module_rollup"] = _with("module_agg", f"""
-SELECT cve_id, msf_module_count, {_list('msf_module_names')}, {_list('msf_module_types')}, msf_max_rank FROM module_agg""")
+SELECT cve_id, msf_module_count, {_list('msf_module_types')}, msf_max_rank FROM module_agg""")
 Q["q_master"] = _with("master", f"SELECT {MASTER_COLUMNS} FROM master")
 Q["q_age_days"] = _with("nvd", f"""
 SELECT cve_id, cast(DATE '{AS_OF}' - cast(published_ts AS DATE) AS INTEGER) AS days_since_published FROM nvd""")
@@ -467,7 +473,7 @@ Q["q_severity_by_year"] = _with("master", """
 SELECT cast(year(published_ts) AS INTEGER) AS pub_year, cvss_v31_severity, count(cve_id) AS cve_count FROM master GROUP BY 1, 2""")
 Q["q_cwe_trend"] = _with("master", """
 SELECT cast(year(published_ts) AS INTEGER) AS pub_year, primary_cwe, count(cve_id) AS cve_count,
-  cast(round(cast(avg(cvss_v31_base_score) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_cvss FROM master WHERE primary_cwe IS NOT NULL GROUP BY 1, 2""")
+  """ + _mean("cvss_v31_base_score", 8) + """ AS avg_cvss FROM master WHERE primary_cwe IS NOT NULL GROUP BY 1, 2""")
 Q["q_trends"] = _with("trends", "SELECT * FROM trends")
 
 # Readiness
@@ -476,19 +482,19 @@ Q["q_time_to_exploit"] = _with("readiness", f"""
 SELECT cve_id, {_txt('earliest_exploit_date')}, days_to_exploit AS time_to_exploit_days FROM readiness
 WHERE days_to_exploit IS NOT NULL""")
 Q["q_tte_stats"] = _with("readiness", """
-SELECT count(cve_id) AS cves_with_exploit_timing, cast(round(cast(avg(days_to_exploit) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_days_to_exploit,
+SELECT count(cve_id) AS cves_with_exploit_timing, """ + _mean("days_to_exploit", 8) + """ AS avg_days_to_exploit,
   quantile_disc(days_to_exploit, 0.5) AS median_days_to_exploit, min(days_to_exploit) AS min_days_to_exploit,
   max(days_to_exploit) AS max_days_to_exploit, quantile_disc(days_to_exploit, 0.25) AS p25_days,
   quantile_disc(days_to_exploit, 0.75) AS p75_days, quantile_disc(days_to_exploit, 0.9) AS p90_days
 FROM readiness WHERE days_to_exploit IS NOT NULL""")
 Q["q_readiness_by_severity"] = _with("master", f"""
 SELECT cvss_v31_severity, count(cve_id) AS total_cves, {_n('has_public_exploit')} AS with_exploit,
-  {_n('has_msf_module')} AS with_msf, {_n('in_cisa_kev')} AS in_kev, cast(round(cast(avg(epss_score) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_epss,
+  {_n('has_msf_module')} AS with_msf, {_n('in_cisa_kev')} AS in_kev, {_mean('epss_score', 8)} AS avg_epss,
   {_pct(_n('has_public_exploit'), 'count(cve_id)', 2)} AS exploit_rate_pct,
   {_pct(_n('has_msf_module'), 'count(cve_id)', 2)} AS msf_rate_pct FROM master GROUP BY cvss_v31_severity""")
 Q["q_readiness_by_cwe"] = _with("master", f"""
 SELECT primary_cwe, count(cve_id) AS total_cves, {_n('has_public_exploit')} AS with_exploit,
-  {_n('has_msf_module')} AS with_msf, cast(round(cast(avg(cvss_v31_base_score) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_cvss, cast(round(cast(avg(epss_score) AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_epss,
+  {_n('has_msf_module')} AS with_msf, {_mean('cvss_v31_base_score', 8)} AS avg_cvss, {_mean('epss_score', 8)} AS avg_epss,
   {_pct(_n('has_public_exploit'), 'count(cve_id)', 2)} AS exploit_rate_pct
 FROM master WHERE primary_cwe IS NOT NULL GROUP BY primary_cwe ORDER BY total_cves DESC, primary_cwe LIMIT 20""")
 Q["q_readiness_overview"] = _with("master", f"""
@@ -505,14 +511,13 @@ _CRIT = "cvss_v31_severity = 'CRITICAL'"
 Q["q_mom"] = _with("master", f"""
 SELECT {_n(_CUR)} AS this_month_cves, {_n(_PREV)} AS last_month_cves, {_n(f'{_CUR} AND {_CRIT}')} AS this_month_critical,
   {_n(f'{_PREV} AND {_CRIT}')} AS last_month_critical,
-  cast(round(cast(cast({_n(_CUR)} - {_n(_PREV)} AS DOUBLE) / greatest({_n(_PREV)}, 1) * 100 AS DECIMAL(30, 12)), 8) AS DOUBLE) AS mom_change_pct FROM master""")
-_POS = "coalesce(avg({0}) FILTER (WHERE {0} > 0), 0)"
+  round(cast({_n(_CUR)} - {_n(_PREV)} AS DOUBLE) / greatest({_n(_PREV)}, 1) * 100, 8) AS mom_change_pct FROM master""")
 _D = "cast(published_ts AS DATE)"
 Q["q_kpi_snapshot"] = _with("kpis", f"""
 SELECT count(*) AS total_active_cves, {_n(f"{_D} = DATE '{AS_OF}'")} AS new_cves_today,
   {_n(f"{_D} >= DATE '{AS_OF}' - 7")} AS new_cves_this_week, {_n(f"{_D} >= DATE '{AS_OF}' - 30")} AS new_cves_this_month,
   {_n(f"{_D} >= DATE '{AS_OF}' - 90")} AS new_cves_this_quarter,
-  cast(round(cast({_POS.format('cvss_v31_base_score')} AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_cvss_scored, cast(round(cast({_POS.format('epss_score')} AS DECIMAL(30, 12)), 8) AS DOUBLE) AS avg_epss_scored,
+  coalesce({_mean('cvss_v31_base_score', 8, 'cvss_v31_base_score > 0')}, 0) AS avg_cvss_scored, coalesce({_mean('epss_score', 8, 'epss_score > 0')}, 0) AS avg_epss_scored,
   {_n('epss_score > 0.5')} AS high_epss_count, {_n('has_public_exploit')} AS exploitable_count,
   {_n('has_msf_module')} AS msf_module_count, {_n('in_cisa_kev')} AS cisa_kev_count,
   {_n('is_ransomware_related')} AS ransomware_related_count,
@@ -525,7 +530,7 @@ SELECT count(*) AS total_active_cves, {_n(f"{_D} = DATE '{AS_OF}'")} AS new_cves
   (SELECT count(*) FROM risk WHERE risk_tier = 'LOW') AS low_risk_count,
   {_pct(_n('has_public_exploit'), 'greatest(count(*), 1)', 8)} AS exploitable_pct,
   {_pct(_n('in_cisa_kev'), 'greatest(count(*), 1)', 8)} AS cisa_kev_pct,
-  cast(round(cast(cast({_n(_CUR)} - {_n(_PREV)} AS DOUBLE) / greatest({_n(_PREV)}, 1) * 100 AS DECIMAL(30, 12)), 8) AS DOUBLE) AS mom_change_pct FROM master""")
+  round(cast({_n(_CUR)} - {_n(_PREV)} AS DOUBLE) / greatest({_n(_PREV)}, 1) * 100, 8) AS mom_change_pct FROM master""")
 Q["q_weaponization"] = _with("readiness", f"""
 SELECT {LEVELS}, round(cast(count(*) AS DOUBLE) / (SELECT count(*) FROM readiness) * 100, 1) AS pct_of_total
 FROM readiness GROUP BY weaponization_level""")
@@ -545,7 +550,7 @@ SELECT kpi_name, kpi_value, kpi_type, time_window, cast(computed_date AS VARCHAR
 Q["q_view_kpi_history"] = _with("kpi_runs", f"""
 SELECT kpi_name, kpi_value, kpi_type, {_txt('computed_date')} FROM kpi_runs WHERE computed_date >= DATE '{AS_OF}' - 30""")
 Q["q_view_top_risks"] = _with("risk_runs", f"""
-SELECT cve_id, cast(round(cast(composite_risk_score AS DECIMAL(30, 12)), 8) AS DOUBLE) AS composite_risk_score, risk_tier, {_r8('cvss_v31_base_score')}, {_r8('epss_score')},
+SELECT cve_id, {_r8('composite_risk_score')}, risk_tier, {_r8('cvss_v31_base_score')}, {_r8('epss_score')},
   {_r8('epss_percentile')}, in_cisa_kev, is_ransomware_related, has_public_exploit, exploit_count, has_msf_module,
   msf_module_count, vendor_project, product, description_en, {_time('published_ts')}, days_since_published, primary_cwe
 FROM (SELECT * FROM risk_runs WHERE run = (SELECT max(run) FROM risk_runs) AND composite_risk_score > 0.5

@@ -90,7 +90,7 @@ def kev_rows(raw: DataFrame) -> DataFrame:
         "required_action": F.trim("requiredAction"),
         "due_date": v.day(F.col("dueDate")),
         "is_ransomware_related": v.is_known(F.col("knownRansomwareCampaignUse")),
-        "date_released": v.day(F.col("dateReleased")),
+        "date_released": v.day(F.substring("dateReleased", 1, 10)),
     })
     return _select(typed.where(ids.is_valid("cve_id")), "kev")
 

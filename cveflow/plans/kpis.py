@@ -44,6 +44,7 @@ HIGH_SCORE = 0.5
 CLOSED_STATUS = ("Rejected", "Analyzed")
 NO_CWE = ("NVD-CWE-noinfo", "NVD-CWE-Other", "")
 
+# Columns of the alert report.
 ALERT_COLUMNS = (
     "cve_id", "description_en", "cvss_v31_base_score", "cvss_v31_severity", "epss_score",
     "in_cisa_kev", "has_public_exploit", "has_msf_module", "is_ransomware_related",
@@ -97,7 +98,7 @@ def snapshot(master: DataFrame, risk: DataFrame, *, as_of: dt.date | str) -> Dat
         return v.count_where(_published_since(today - dt.timedelta(days=days)))
 
     def positive_mean(name: str) -> Column:
-        return F.coalesce(F.avg(F.when(F.col(name) > 0, F.col(name))), F.lit(0.0))
+        return F.coalesce(v.average(F.when(F.col(name) > 0, F.col(name))), F.lit(0.0))
 
     totals = master.agg(
         F.count("*").alias("total_active_cves"),
@@ -141,9 +142,7 @@ def to_long(
         as_double = F.col(name).cast("double")
         if name not in PLACES:
             return as_double
-        return F.round(F.round(as_double, 9), PLACES[name]) if name.startswith("avg") else F.round(
-            as_double, PLACES[name]
-        )
+        return F.round(as_double, PLACES[name])
 
     rows = F.array(*[
         F.struct(

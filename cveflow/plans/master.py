@@ -9,11 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from cveflow.functions import values as v
 from cveflow.operators.dedup import latest_by
 
-# Id lists up to this length are carried inside the row.  Longer ones would not fit a task, so
-# their column is NULL; the counts stay exact, and ``exploit_links`` / ``module_links`` hold every
-# (advisory, id) pair whatever its number.
-INLINE_IDS = 500_000
-
+# Columns that the master takes over.
 NVD_COLUMNS = (
     "cve_id", "sourceIdentifier", "published_ts", "last_modified_ts", "vulnStatus",
     "description_en", "cvss_v31_base_score", "cvss_v31_severity", "cvss_v31_vector",
@@ -57,55 +53,34 @@ def module_links(modules: DataFrame) -> DataFrame:
     )
 
 
-def _id_lists(
-    links: DataFrame, counts: DataFrame, count_col: str, id_col: str, out: str, limit: int, salts: int = 256
-) -> DataFrame:
-    """``(cve_id, out)``: the sorted distinct ids of every advisory with at most ``limit`` links.
+def exploit_ids(exploits: DataFrame) -> DataFrame:
+    """Distinct ``(cve_id, exploit_id)``: the ids of an advisory are rows, so none is too many."""
+    return exploit_links(exploits).select("cve_id", "exploit_id").distinct()
 
-    The advisories above the limit are found from the counts and taken out before anything is
-    collected.  Both sides carry a salt, so the links of one advisory are spread over many tasks.
-    """
-    too_long = counts.where(F.col(count_col) > limit).select(
-        "cve_id", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    )
-    salted = links.select("cve_id", id_col, F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("_salt"))
-    return (
-        salted.join(too_long, ["cve_id", "_salt"], "left_anti")
-        .groupBy("cve_id")
-        .agg(F.sort_array(F.collect_set(id_col)).alias(out))
-    )
+
+def module_names(modules: DataFrame) -> DataFrame:
+    """Distinct ``(cve_id, fullname)``."""
+    return module_links(modules).select("cve_id", "fullname").distinct()
 
 
-def exploit_rollup(exploits: DataFrame, *, inline_limit: int = INLINE_IDS) -> DataFrame:
-    """Per advisory: exploit count (an id repeated in one record counts each time), ids, platforms,
-    types and the earliest date."""
-    links = exploit_links(exploits)
-    # The sets in here hold categories, a few dozen words; the ids are listed separately.
-    counts = links.groupBy("cve_id").agg(
+def exploit_rollup(exploits: DataFrame) -> DataFrame:
+    """Per advisory: exploit count (an id repeated in one record counts each time), platforms,
+    types and the earliest date.  ``exploit_ids`` has the ids."""
+    return exploit_links(exploits).groupBy("cve_id").agg(
         F.count("exploit_id").alias("exploit_count"),
         F.sort_array(F.collect_set("platform_clean")).alias("exploit_platforms"),
         F.sort_array(F.collect_set("exploit_type")).alias("exploit_types"),
         F.min("date_published_dt").alias("earliest_exploit_date"),
     )
-    lists = _id_lists(links, counts, "exploit_count", "exploit_id", "exploit_ids", inline_limit)
-    return counts.join(lists, "cve_id", "left").select(
-        "cve_id", "exploit_count", "exploit_ids", "exploit_platforms", "exploit_types",
-        "earliest_exploit_date",
-    )
 
 
-def module_rollup(modules: DataFrame, *, inline_limit: int = INLINE_IDS) -> DataFrame:
-    """Per advisory: module count, names, types and the best rank."""
-    links = module_links(modules)
-    counts = links.groupBy("cve_id").agg(
+def module_rollup(modules: DataFrame) -> DataFrame:
+    """Per advisory: module count, types and the best rank.  ``module_names`` has the names."""
+    return module_links(modules).groupBy("cve_id").agg(
         F.count("fullname").alias("msf_module_count"),
         F.sort_array(F.collect_set("module_type")).alias("msf_module_types"),
         F.max("rank_numeric").alias("msf_max_rank"),
     )
-    lists = _id_lists(links, counts, "msf_module_count", "fullname", "msf_module_names", inline_limit)
-    return counts.join(lists, "cve_id", "left").select(
-        "cve_id", "msf_module_count", "msf_module_names", "msf_module_types", "msf_max_rank"
-    )
 
 
 def latest_epss(epss: DataFrame, *, tiebreak: list[str] | None = None) -> DataFrame:
@@ -130,7 +105,6 @@ def build(
     as_of: dt.date | str,
     now: dt.datetime | str | None = None,
     tiebreak: list[str] | None = None,
-    inline_limit: int = INLINE_IDS,
 ) -> DataFrame:
     """The master table.  Every joined side has one row per ``cve_id``, so rows = NVD rows."""
     listed = kev.select(*KEV_COLUMNS, F.lit(True).alias("in_cisa_kev"))
@@ -138,8 +112,8 @@ def build(
         nvd.select(*NVD_COLUMNS)
         .join(listed, "cve_id", "left")
         .join(latest_epss(epss, tiebreak=tiebreak), "cve_id", "left")
-        .join(exploit_rollup(exploits, inline_limit=inline_limit), "cve_id", "left")
-        .join(module_rollup(modules, inline_limit=inline_limit), "cve_id", "left")
+        .join(exploit_rollup(exploits), "cve_id", "left")
+        .join(module_rollup(modules), "cve_id", "left")
     )
     flagged = joined.fillna(DEFAULTS).withColumns({
         "has_public_exploit": F.col("exploit_count") > 0,

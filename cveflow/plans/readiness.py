@@ -69,7 +69,7 @@ def tte_stats(master: DataFrame, *, exact: bool = False) -> DataFrame:
 
     return time_to_exploit(master).agg(
         F.count("cve_id").alias("cves_with_exploit_timing"),
-        F.avg(days).alias("avg_days_to_exploit"),
+        v.average(days).alias("avg_days_to_exploit"),
         quantile(0.5).alias("median_days_to_exploit"),
         F.min(days).alias("min_days_to_exploit"),
         F.max(days).alias("max_days_to_exploit"),
@@ -85,7 +85,7 @@ def by_severity(master: DataFrame) -> DataFrame:
         v.count_where(F.col("has_public_exploit")).alias("with_exploit"),
         v.count_where(F.col("has_msf_module")).alias("with_msf"),
         v.count_where(F.col("in_cisa_kev")).alias("in_kev"),
-        F.avg("epss_score").alias("avg_epss"),
+        v.average(F.col("epss_score")).alias("avg_epss"),
     )
     return grouped.withColumns({
         "exploit_rate_pct": v.percent(F.col("with_exploit"), F.col("total_cves"), 2),
@@ -99,8 +99,8 @@ def by_cwe(master: DataFrame, *, k: int = 20) -> DataFrame:
         F.count("cve_id").alias("total_cves"),
         v.count_where(F.col("has_public_exploit")).alias("with_exploit"),
         v.count_where(F.col("has_msf_module")).alias("with_msf"),
-        F.avg("cvss_v31_base_score").alias("avg_cvss"),
-        F.avg("epss_score").alias("avg_epss"),
+        v.average(F.col("cvss_v31_base_score")).alias("avg_cvss"),
+        v.average(F.col("epss_score")).alias("avg_epss"),
     )
     return grouped.withColumn(
         "exploit_rate_pct", v.percent(F.col("with_exploit"), F.col("total_cves"), 2)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cveflow.functions import values as v
-from cveflow.operators.dedup import dense_rank_by_value, dense_ranks
+from cveflow.operators.dedup import dense_rank_by_value
 
 # Share of each component in the score.
 WEIGHTS = {
@@ -17,6 +18,7 @@ WEIGHTS = {
 # Lowest score of each tier; anything lower is LOW.
 TIERS = (("CRITICAL", 0.75), ("HIGH", 0.50), ("MEDIUM", 0.25))
 
+# Columns of the risk table.
 COLUMNS = (
     "cve_id", "description_en", "cvss_v31_base_score", "cvss_v31_severity", "epss_score",
     "epss_percentile", "in_cisa_kev", "is_ransomware_related", "has_public_exploit",
@@ -28,15 +30,23 @@ COLUMNS = (
 SCORE = "composite_risk_score"
 
 
+def most_scores(weights: Mapping[str, float] = WEIGHTS) -> int:
+    """How many scores there can be: four places between the least and the greatest sum, and NULL."""
+    return math.ceil(sum(map(abs, weights.values())) * 10_000) + 3
+
+
 def composite(weights: Mapping[str, float] = WEIGHTS) -> Column:
-    """Weighted sum rounded to four places; it lies in [0, 1] for CVSS in [0, 10]."""
+    """Weighted sum rounded to four places.
+
+    CVSS counts as a value in [0, 10] and EPSS as one in [0, 1], so that the weights bound the score.
+    """
 
     def flag(name: str) -> Column:
         return F.when(F.col(name), 1.0).otherwise(0.0)
 
     total = (
-        F.col("cvss_v31_base_score") / 10.0 * weights["cvss"]
-        + F.col("epss_score") * weights["epss"]
+        v.clamp(F.col("cvss_v31_base_score"), 10.0) / 10.0 * weights["cvss"]
+        + v.clamp01(F.col("epss_score")) * weights["epss"]
         + flag("in_cisa_kev") * weights["kev"]
         + flag("has_public_exploit") * weights["exploit"]
         + flag("has_msf_module") * weights["msf"]
@@ -52,34 +62,6 @@ def tier(score: Column) -> Column:
     return label
 
 
-def _ranked(scored: DataFrame, weights: Mapping[str, float]) -> DataFrame:
-    """Add ``priority_rank``, the dense rank of the score over the whole table.
-
-    Scores in [0, 1] have four places, so at most 10,001 of them exist and their ranks may be
-    broadcast whatever the size of the table.  Only a CVSS or EPSS outside its range can lead
-    outside [0, 1]; those rows are read by a filter on the stored columns, which Parquet statistics
-    answer without reading when there are none, and are joined without a broadcast.
-    """
-    bounds = {"lo": 0.0, "hi": 1.0}
-    if min(weights.values()) < 0 or sum(weights.values()) > 1.0 + 1e-9:
-        return dense_rank_by_value(scored, SCORE, "priority_rank", **bounds)
-    score = F.col(SCORE)
-    usual = F.coalesce((score >= 0.0) & (score <= 1.0), F.lit(False))
-    odd_input = (
-        F.coalesce(~F.col("cvss_v31_base_score").between(0.0, 10.0), F.lit(True))
-        | F.coalesce(~F.col("epss_score").between(0.0, 1.0), F.lit(True))
-    )
-    ranks = dense_ranks(scored, SCORE, "priority_rank", **bounds)
-    inside = scored.where(usual).join(F.broadcast(ranks.where(usual)), SCORE)
-    rest = ranks.where(~usual).withColumnRenamed(SCORE, "_value")
-    outside = (
-        scored.where(odd_input & ~usual)
-        .join(rest, F.col(SCORE).eqNullSafe(F.col("_value")))
-        .drop("_value")
-    )
-    return inside.unionByName(outside)
-
-
 def score(
     master: DataFrame,
     *,
@@ -90,7 +72,7 @@ def score(
     """Risk table: 20 columns of the master plus score, tier, rank and the run stamp."""
     inputs = [c for c in COLUMNS if c not in (SCORE, "risk_tier", "priority_rank")]
     scored = master.select(*inputs).withColumn(SCORE, composite(weights))
-    ranked = _ranked(scored, weights).withColumn("risk_tier", tier(F.col(SCORE))).select(*COLUMNS)
+    ranked = dense_rank_by_value(scored, SCORE, "priority_rank", most=most_scores(weights)).withColumn("risk_tier", tier(F.col(SCORE))).select(*COLUMNS)
     return v.stamped(ranked, as_of, now, "_scored_at")
 
 

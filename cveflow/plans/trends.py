@@ -26,8 +26,8 @@ def _severity(name: str) -> Column:
 def _base() -> list[Column]:
     return [
         F.count("cve_id").alias("new_cves"),
-        F.avg("cvss_v31_base_score").alias("avg_cvss"),
-        F.avg("epss_score").alias("avg_epss"),
+        v.average(F.col("cvss_v31_base_score")).alias("avg_cvss"),
+        v.average(F.col("epss_score")).alias("avg_epss"),
         v.count_where(F.col("in_cisa_kev")).alias("cisa_kev_count"),
         v.count_where(F.col("has_public_exploit")).alias("exploitable_count"),
     ]
@@ -70,7 +70,7 @@ def cwe_by_year(master: DataFrame) -> DataFrame:
     return master.where(F.col("primary_cwe").isNotNull()).groupBy(
         F.year("published_ts").alias("pub_year"), "primary_cwe"
     ).agg(
-        F.count("cve_id").alias("cve_count"), F.avg("cvss_v31_base_score").alias("avg_cvss")
+        F.count("cve_id").alias("cve_count"), v.average(F.col("cvss_v31_base_score")).alias("avg_cvss")
     ).orderBy("pub_year", F.col("cve_count").desc(), "primary_cwe")
 
 
@@ -84,9 +84,9 @@ def combined(
     """
     per_day = master.groupBy(_published().alias("d")).agg(
         F.count("cve_id").alias("n"),
-        F.sum("cvss_v31_base_score").alias("cvss_sum"),
+        F.sum(v.exact(F.col("cvss_v31_base_score"))).alias("cvss_sum"),
         F.count("cvss_v31_base_score").alias("cvss_n"),
-        F.sum("epss_score").alias("epss_sum"),
+        F.sum(v.exact(F.col("epss_score"))).alias("epss_sum"),
         F.count("epss_score").alias("epss_n"),
         v.count_where(F.col("in_cisa_kev")).alias("kev"),
         v.count_where(F.col("has_public_exploit")).alias("exploitable"),
@@ -101,8 +101,8 @@ def combined(
     ])
     narrow = per_day.withColumn("g", F.explode(grains)).groupBy("g.trend_type", "g.start").agg(
         F.sum("n").alias("new_cves"),
-        F.try_divide(F.sum("cvss_sum"), F.sum("cvss_n")).alias("avg_cvss"),
-        F.try_divide(F.sum("epss_sum"), F.sum("epss_n")).alias("avg_epss"),
+        F.try_divide(F.sum("cvss_sum"), F.sum("cvss_n")).cast("double").alias("avg_cvss"),
+        F.try_divide(F.sum("epss_sum"), F.sum("epss_n")).cast("double").alias("avg_epss"),
         F.sum("kev").alias("cisa_kev_count"),
         F.sum("exploitable").alias("exploitable_count"),
     )

@@ -13,10 +13,11 @@ from cveflow.plans.kpis import on_partition
 from cveflow.schema import RUN_DATE
 
 __all__ = [
-    "critical_alerts", "daily_trends", "kpi_history", "latest_kpis", "monthly_trends",
+    "create_views", "critical_alerts", "daily_trends", "kpi_history", "latest_kpis", "monthly_trends",
     "on_partition", "register_views", "top_risks", "vendor_risk", "weaponization",
 ]
 
+# Columns of the top-risk view.
 TOP_RISK_COLUMNS = (
     "cve_id", "composite_risk_score", "risk_tier", "cvss_v31_base_score", "epss_score",
     "epss_percentile", "in_cisa_kev", "is_ransomware_related", "has_public_exploit",
@@ -113,3 +114,43 @@ def register_views(
     for name, frame in frames.items():
         frame.createOrReplaceTempView(name)
     return list(frames)
+
+
+def create_views(spark: SparkSession, database: str, *, as_of: dt.date | str | None = None) -> list[str]:
+    """Persistent views of the same names over the tables of ``database``; without ``as_of`` they follow the current date."""
+    today = "current_date()" if as_of is None else f"DATE '{v.as_date(as_of)}'"
+    exact = "CAST({} AS DECIMAL(30, 15))".format
+    mean = f"CAST(round(avg({exact('cvss_v31_base_score')}), 2) AS DOUBLE) AS avg_cvss"
+    newest = "WHERE struct(year, month, day) = (SELECT max(struct(year, month, day)) FROM {0})".format
+    trend = "new_cves, avg_cvss, avg_epss, cisa_kev_count, exploitable_count"
+
+    def t(name: str) -> str:
+        return f"{database}.{name}"
+
+    texts = {
+        "vw_latest_kpis": f"""SELECT kpi_name, kpi_value, kpi_type, time_window, computed_at, computed_date FROM {t('kpis')}
+            WHERE computed_date = (SELECT max(computed_date) FROM {t('kpis')})""",
+        "vw_kpi_history": f"""SELECT kpi_name, kpi_value, kpi_type, computed_date FROM {t('kpis')}
+            WHERE computed_date >= {today} - INTERVAL 30 DAYS ORDER BY computed_date DESC, kpi_name""",
+        "vw_top_risks": f"""SELECT {', '.join(TOP_RISK_COLUMNS)} FROM {t('risk')} {newest(t('risk'))}
+            AND composite_risk_score > {reports.HIGH_SCORE} ORDER BY composite_risk_score DESC, cve_id LIMIT 100""",
+        "vw_daily_trends": f"""SELECT period AS date, {trend} FROM {t('trends')} WHERE trend_type = 'daily'
+            AND try_cast(period AS DATE) >= {today} - INTERVAL 90 DAYS ORDER BY date DESC""",
+        "vw_monthly_trends": f"""SELECT period AS month, {trend} FROM {t('trends')} WHERE trend_type = 'monthly'
+            AND try_cast(period AS DATE) >= {today} - INTERVAL 730 DAYS ORDER BY month DESC""",
+        "vw_weaponization": f"""SELECT weaponization_level, count(*) AS cve_count, {mean},
+            CAST(round(avg({exact('epss_score')}), 5) AS DOUBLE) AS avg_epss, count_if(in_cisa_kev) AS in_kev
+            FROM {t('readiness')} {newest(t('readiness'))} GROUP BY weaponization_level ORDER BY cve_count DESC, weaponization_level""",
+        "vw_critical_alerts": f"""SELECT {', '.join(reports.ALERT_COLUMNS)} FROM {t('master')}
+            WHERE to_date(published_ts) >= {today} - INTERVAL 7 DAYS
+            AND (cvss_v31_base_score >= {reports.SEVERE_CVSS} OR in_cisa_kev OR epss_score > 0.7) ORDER BY cvss_v31_base_score DESC, cve_id""",
+        "vw_vendor_risk": f"""SELECT vendor_project, count(cve_id) AS total_cves, {mean}, count_if(in_cisa_kev) AS kev_count,
+            count_if(has_public_exploit) AS exploitable, count_if(has_msf_module) AS msf_modules,
+            count_if(cvss_v31_severity = 'CRITICAL') AS critical_cves,
+            round(count_if(has_public_exploit) / count(cve_id) * 100, 1) AS exploit_rate_pct
+            FROM {t('master')} WHERE vendor_project IS NOT NULL AND vendor_project <> '' GROUP BY vendor_project
+            HAVING count(cve_id) >= 5 AND count_if(has_public_exploit) >= 1 ORDER BY kev_count DESC, total_cves DESC, vendor_project LIMIT 50""",
+    }
+    for name, text in texts.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {t(name)} AS {text}")
+    return [t(name) for name in texts]

@@ -15,7 +15,7 @@ from cveflow import schema, scratch, sinks
 from cveflow.functions import ids, values as v
 from cveflow.operators import dedup
 from cveflow.oracle.sql import (
-    FIRST_RUN, KPI_DAYS, PLAN_PAGE, PLAN_SINCE, SPLIT_CHANGED, SPLIT_NEW,
+    FIRST_RUN, KPI_DAYS, SPLIT_CHANGED, SPLIT_NEW,
 )
 from cveflow.plans import clean, kpis, master, readiness, risk, trends, views
 from cveflow.sources import feeds, planning, testfeeds
@@ -52,7 +52,7 @@ def flat(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, ArrayType):
             c = F.array_join(c, ",")
         elif isinstance(field.dataType, DoubleType):
-            c = F.round(F.round(c, 12), 8)  # the inner one settles ties, whatever the last bit
+            c = F.round(c, 8)
         return c.alias(field.name)
 
     return df.select(*[plain(f) for f in df.schema.fields])
@@ -117,7 +117,8 @@ class Tables:
     def two_runs(self, table: DataFrame) -> DataFrame:
         """The mart after two runs: the second replaces what changed and adds what is new."""
         published = F.to_date("published_ts")
-        before = v.run_date(table.where(published < F.lit(SPLIT_NEW).cast("date")), FIRST_RUN)
+        early = F.coalesce(published < F.lit(SPLIT_NEW).cast("date"), F.lit(True))
+        before = v.run_date(table.where(early), FIRST_RUN)
         changed = v.run_date(table.where(published >= F.lit(SPLIT_CHANGED).cast("date")), AS_OF)
         return sinks.upsert(before, changed, ["cve_id"])
 
@@ -166,9 +167,9 @@ def _block(c: Column, size: int) -> Column:
 
 def _object(texts: list[str], nested: list[str] = ()) -> Column:
     """JSON text of the named columns; ``nested`` ones hold JSON already."""
-    parts = [F.concat(F.lit(f'"{c}":"'), F.col(f"`{c}`"), F.lit('"')) for c in texts]
-    parts += [F.concat(F.lit(f'"{c}":'), F.col(f"`{c}`")) for c in nested]
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    plain = F.to_json(F.struct(*[F.col(f"`{c}`") for c in texts]), {"ignoreNullFields": "false"})
+    parts = [F.concat(F.lit(f',"{c}":'), F.col(f"`{c}`")) for c in nested]
+    return F.concat(F.substring(plain, F.lit(1), F.length(plain) - 1), *parts, F.lit("}"))
 
 
 def _joined(c: Column) -> Column:
@@ -188,48 +189,47 @@ def q_read_nvd(t: Tables) -> DataFrame:
         ).alias("value")
     )
     path = _documents(pages.select("value"), "nvd")
-    return feeds.read_nvd(t.spark, path, lines=True).select(*texts, *nested)
+    return feeds.read_nvd(t.spark, path, lines=True).select(*schema.NVD_FIELDS)
 
 
 @query("q_read_kev")
 def q_read_kev(t: Tables) -> DataFrame:
     texts = [
         "cveID", "vendorProject", "product", "vulnerabilityName", "dateAdded", "requiredAction",
-        "dueDate", "knownRansomwareCampaignUse",
+        "dueDate", "knownRansomwareCampaignUse", "shortDescription", "notes",
     ]
-    raw = t.raw("kev")
-    head = f'{{"catalogVersion":"2001.08.02","dateReleased":"{AS_OF}T00:00:00.000Z","count":'
-    catalogues = raw.groupBy(_block(_number(raw["cveID"]), 1000)).agg(
-        F.concat(
-            F.lit(head), F.count("*").cast("string"), F.lit(',"vulnerabilities":['),
-            _joined(_object(texts)), F.lit("]}"),
-        ).alias("value")
+    raw, header = t.raw("kev"), ["catalogVersion", "dateReleased"]
+    catalogues = raw.groupBy(*header, _block(_number(raw["cveID"]), 1000)).agg(
+        F.count("*").cast("string").alias("count"), _joined(_object(texts)).alias("entries")
+    )
+    catalogues = catalogues.withColumn("vulnerabilities", F.concat(F.lit("["), F.col("entries"), F.lit("]"))).select(
+        _object([*header, "count"], ["vulnerabilities"]).alias("value")
     )
     path = _documents(catalogues.select("value"), "kev")
-    return feeds.read_kev(t.spark, path, lines=True).select(*texts, "catalogVersion", "dateReleased")
+    return feeds.read_kev(t.spark, path, lines=True).select(*texts, *header, "count")
 
 
 @query("q_read_epss")
 def q_read_epss(t: Tables) -> DataFrame:
-    """One gzip file per month and block of advisories, dated the first of the month."""
+    """One gzip file per day and block of advisories, in a folder of the day."""
     rows = t.raw("epss").select(
-        F.date_trunc("month", F.col("date").cast("date")).cast("date").cast("string").alias("month"),
+        "date",
         _block(_number(F.col("cve")), 10_000_000).alias("block"),
         F.lit(2).alias("part"),
         F.concat_ws(",", "cve", "epss", "percentile").alias("value"),
     )
-    files = rows.select("month", "block").distinct()
-    comment = F.concat(F.lit("#model_version:v1,score_date:"), "month", F.lit("T00:00:00+0000"))
+    files = rows.select("date", "block").distinct()
+    comment = F.concat(F.lit("#model_version:v1,score_date:"), "date", F.lit("T00:00:00+0000"))
     lines = (
-        rows.unionByName(files.select("month", "block", F.lit(0).alias("part"), comment.alias("value")))
-        .unionByName(files.select("month", "block", F.lit(1).alias("part"), F.lit("cve,epss,percentile").alias("value")))
+        rows.unionByName(files.select("date", "block", F.lit(0).alias("part"), comment.alias("value")))
+        .unionByName(files.select("date", "block", F.lit(1).alias("part"), F.lit("cve,epss,percentile").alias("value")))
     )
     path = scratch.fresh_path(t.spark, "epss")
     (
-        lines.repartition("month", "block").sortWithinPartitions("month", "block", "part").drop("part")
-        .write.partitionBy("month", "block").text(path, compression="gzip")
+        lines.repartition("date", "block").sortWithinPartitions("date", "block", "part").drop("part")
+        .write.partitionBy("date", "block").text(path, compression="gzip")
     )
-    return feeds.read_epss(t.spark, path)
+    return feeds.read_epss(t.spark, path, dated=True)
 
 
 @query("q_read_exploits")
@@ -251,9 +251,7 @@ def q_read_modules(t: Tables) -> DataFrame:
     block = _block(_number(raw["name"]), 500), _number(raw["fullname"])
     maps = raw.groupBy(*block).agg(F.concat(F.lit("{"), _joined(entry), F.lit("}")).alias("value"))
     path = _documents(maps.select("value"), "modules")
-    return feeds.read_modules(t.spark, path, lines=True).select(
-        "fullname", *texts, *nested, "aliases", "notes", "path"
-    )
+    return feeds.read_modules(t.spark, path, lines=True).select(*schema.MODULE_FIELDS)
 
 
 @query("q_stamp")
@@ -264,9 +262,11 @@ def q_stamp(t: Tables) -> DataFrame:
 
 @query("q_plan_windows")
 def q_plan_windows(t: Tables) -> DataFrame:
-    totals = planning.count_by_window(t.raw("nvd"), PLAN_SINCE, AS_OF)
-    windows = planning.plan_windows(t.spark, PLAN_SINCE, AS_OF).join(totals, "window_start")
-    return planning.plan_offsets(windows, page=PLAN_PAGE)
+    raw = t.raw("nvd")
+    since = raw.agg(F.min(F.try_to_timestamp("lastModified")).cast("date")).first()[0]
+    totals = planning.count_by_window(raw, since, AS_OF)
+    windows = planning.plan_windows(t.spark, since, AS_OF).join(totals, "window_start")
+    return planning.plan_offsets(windows)
 
 
 @query("q_high_water")
@@ -279,7 +279,7 @@ def q_top_up(t: Tables) -> DataFrame:
     raw, columns = t.raw("nvd"), ["id", "published", "lastModified", "vulnStatus", "_source"]
     own = raw.where("_source = 'nvd_api'").select(*columns)
     extra = raw.where("_source = 'synthetic'").select("id", "published", "_source")
-    return feeds.top_up(own, extra, bytes_per_row=2000, target_bytes=float("inf"))
+    return feeds.top_up(own, extra)
 
 
 @query("q_incremental")
@@ -458,6 +458,16 @@ def q_explode_modules(t: Tables) -> DataFrame:
     return master.module_links(t.modules())
 
 
+@query("q_exploit_ids")
+def q_exploit_ids(t: Tables) -> DataFrame:
+    return master.exploit_ids(t.exploits())
+
+
+@query("q_module_names")
+def q_module_names(t: Tables) -> DataFrame:
+    return master.module_names(t.modules())
+
+
 @query("q_exploit_rollup")
 def q_exploit_rollup(t: Tables) -> DataFrame:
     return master.exploit_rollup(t.exploits())
@@ -490,7 +500,7 @@ def q_risk(t: Tables) -> DataFrame:
 @query("q_priority_rank")
 def q_priority_rank(t: Tables) -> DataFrame:
     scored = t.master().select("cve_id", risk.composite().alias(risk.SCORE))
-    return dedup.dense_rank_by_value(scored, risk.SCORE, "priority_rank", lo=0.0, hi=1.0)
+    return dedup.dense_rank_by_value(scored, risk.SCORE, "priority_rank", most=risk.most_scores())
 
 
 @query("q_tier_distribution")
@@ -588,7 +598,7 @@ def q_mom(t: Tables) -> DataFrame:
 
 @query("q_weaponization")
 def q_weaponization(t: Tables) -> DataFrame:
-    return kpis.weaponization(t.readiness())
+    return kpis.weaponization(views.on_partition(t.readiness(), AS_OF))
 
 
 @query("q_vendor_risk")

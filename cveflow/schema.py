@@ -60,6 +60,7 @@ RAW = {
     "modules": _raw(MODULE_FIELDS),
 }
 
+# Names and types of the stored columns.
 CLEAN = {
     "nvd": _struct({
         "cve_id": TEXT, "sourceIdentifier": TEXT, "published_ts": TIME, "last_modified_ts": TIME,
@@ -91,6 +92,7 @@ CLEAN = {
 
 COUNT = LongType()
 
+# Names and types of the stored columns.
 MASTER = _struct({
     "cve_id": TEXT, "sourceIdentifier": TEXT, "published_ts": TIME, "last_modified_ts": TIME,
     "vulnStatus": TEXT, "description_en": TEXT, "cvss_v31_base_score": NUMBER,
@@ -99,13 +101,14 @@ MASTER = _struct({
     "product": TEXT, "vulnerability_name": TEXT, "date_added": DAY, "due_date": DAY,
     "is_ransomware_related": FLAG, "required_action": TEXT, "in_cisa_kev": FLAG,
     "epss_score": NUMBER, "epss_percentile": NUMBER, "epss_score_date": DAY,
-    "exploit_count": COUNT, "exploit_ids": TEXTS, "exploit_platforms": TEXTS,
+    "exploit_count": COUNT, "exploit_platforms": TEXTS,
     "exploit_types": TEXTS, "earliest_exploit_date": DAY, "msf_module_count": COUNT,
-    "msf_module_names": TEXTS, "msf_module_types": TEXTS, "msf_max_rank": INT,
+    "msf_module_types": TEXTS, "msf_max_rank": INT,
     "has_public_exploit": FLAG, "has_msf_module": FLAG, "days_since_published": INT,
     **RUN_FIELDS, "_gold_updated_at": TIME,
 })
 
+# Names and types of the stored columns.
 RISK = _struct({
     "cve_id": TEXT, "description_en": TEXT, "cvss_v31_base_score": NUMBER,
     "cvss_v31_severity": TEXT, "epss_score": NUMBER, "epss_percentile": NUMBER,
@@ -116,11 +119,13 @@ RISK = _struct({
     **RUN_FIELDS, "_scored_at": TIME,
 })
 
+# Names and types of the stored columns.
 TRENDS = _struct({
     "trend_type": TEXT, "period": TEXT, "new_cves": COUNT, "avg_cvss": NUMBER, "avg_epss": NUMBER,
     "cisa_kev_count": COUNT, "exploitable_count": COUNT, **RUN_FIELDS, "_computed_at": TIME,
 })
 
+# Names and types of the stored columns.
 READINESS = _struct({
     "cve_id": TEXT, "description_en": TEXT, "cvss_v31_severity": TEXT,
     "cvss_v31_base_score": NUMBER, "epss_score": NUMBER, "primary_cwe": TEXT, "published_ts": TIME,
@@ -130,6 +135,7 @@ READINESS = _struct({
     "_computed_at": TIME,
 })
 
+# Names and types of the stored columns.
 KPI_HISTORY = _struct({
     "kpi_name": TEXT, "kpi_value": NUMBER, "kpi_type": TEXT, "time_window": TEXT,
     "computed_at": TIME, "computed_date": DAY, **RUN_FIELDS,

@@ -1,15 +1,33 @@
-"""Table writers.  Each counts its rows while writing, without a second scan."""
+"""Table writers.  Each counts its rows while writing, without a second scan.
+
+A target is a folder, or the name of a catalog table if it has no slash.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from cveflow.operators.merge import upsert
 from cveflow.schema import RUN_DATE
 
-__all__ = ["append", "clustered", "overwrite", "upsert", "write_observed"]
+__all__ = [
+    "append", "clustered", "exists", "merge_table", "overwrite", "read", "take_over", "upsert",
+    "write_observed",
+]
+
+
+def _named(target: str) -> bool:
+    return "/" not in target
+
+
+def exists(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table)
+
+
+def read(spark: SparkSession, target: str) -> DataFrame:
+    return spark.table(target) if _named(target) else spark.read.parquet(target)
 
 
 def write_observed(
@@ -32,7 +50,7 @@ def write_observed(
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.format("parquet").saveAsTable(path) if _named(path) else writer.parquet(path)
     return seen
 
 
@@ -68,3 +86,25 @@ def clustered(
     return write_observed(
         ranged.sortWithinPartitions(*partition_by, cluster_by), path, mode=mode, partition_by=partition_by
     )
+
+
+def merge_table(df: DataFrame, table: str, keys: Sequence[str], *, cluster_by: str) -> Observation:
+    """Create the table, or upsert ``df`` into it.
+
+    The merged rows are written to a table of their own first, as they are read from the one they replace.
+    """
+    spark = df.sparkSession
+    if not exists(spark, table):
+        return clustered(df, table, cluster_by=cluster_by, partition_by=RUN_DATE)
+    following = f"{table}__next"
+    spark.sql(f"DROP TABLE IF EXISTS {following}")
+    merged = upsert(spark.table(table), df, keys)
+    seen = clustered(merged, following, cluster_by=cluster_by, partition_by=RUN_DATE)
+    take_over(spark, following, table)
+    return seen
+
+
+def take_over(spark: SparkSession, following: str, table: str) -> None:
+    """Replace the rows of ``table`` by those of ``following``, which goes when all are there."""
+    overwrite(spark.table(following), table, rebalance=True)
+    spark.sql(f"DROP TABLE {following}")

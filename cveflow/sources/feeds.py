@@ -68,15 +68,18 @@ def read_kev(spark: SparkSession, path: str | list[str], *, lines: bool = False)
 
 
 def read_epss(
-    spark: SparkSession, path: str | list[str], *, as_of: dt.date | str | None = None
+    spark: SparkSession, path: str | list[str], *, as_of: dt.date | str | None = None, dated: bool = False
 ) -> DataFrame:
     """Score files (plain or gzip CSV): a comment line with the score date, a header, the rows.
 
-    Each file's date is put on its rows, ``as_of`` where the comment has none.  The date table has
-    one row per input file, no more than the file listing the driver already holds, so it is
-    broadcast.
+    With ``dated`` the files lie in folders ``date=YYYY-MM-DD`` and are read once, the folder giving the date.
+    Otherwise each file is read a second time for its comment, whose date is put on its rows, and
+    ``as_of`` where there is none.
     """
     names = ("cve", "epss", "percentile")
+    if dated:
+        columns = s.strings((*names, "date"))
+        return spark.read.csv(path, schema=columns, header=True, comment="#").select(*names, "date")
     file = F.col("_metadata.file_path").alias("_file")
     rows = spark.read.csv(
         path, schema=s.strings(names), header=True, comment="#", enforceSchema=False
@@ -90,17 +93,17 @@ def read_epss(
         .agg(F.max(found).alias("date"))
     )
     fallback = F.lit(str(v.as_date(as_of)) if as_of is not None else None).cast("string")
-    return rows.join(F.broadcast(dates), "_file", "left").select(
+    return rows.join(dates, "_file", "left").select(
         *names, F.coalesce("date", fallback).alias("date")
     )
 
 
 def read_exploits(
-    spark: SparkSession, path: str | list[str], *, multiline: bool = True
+    spark: SparkSession, path: str | list[str], *, multiline: bool = False
 ) -> DataFrame:
-    """Exploit index CSV with header; columns are taken by name, quoted newlines are kept.
+    """Exploit index CSV with header; columns are taken by name.
 
-    ``multiline=False`` splits large files, for files known to have no quoted newline.
+    Large files are split.  ``multiline=True`` keeps quoted newlines, and reads a file in one task.
     """
     table = spark.read.csv(
         path, header=True, multiLine=multiline, escape='"', enforceSchema=False, inferSchema=False
@@ -146,10 +149,6 @@ def stamp(
     return v.run_date(stamped, v.as_time(now).date())
 
 
-def top_up(
-    df: DataFrame, extra: DataFrame, *, bytes_per_row: int, target_bytes: float
-) -> DataFrame:
-    """Append ``extra`` by column name if ``df`` is below the target volume.  Counts ``df`` once."""
-    if df.count() * bytes_per_row >= target_bytes:
-        return df
+def top_up(df: DataFrame, extra: DataFrame) -> DataFrame:
+    """``df`` and the supplementary rows, matched by column name; columns that ``extra`` lacks are NULL."""
     return df.unionByName(extra, allowMissingColumns=True)

@@ -1,8 +1,9 @@
 """The five raw feeds, derived from ``orders`` and ``lineitem``.
 
 The statements are plain SQL, so that another engine can derive the same rows
-(``oracle`` uses them too).  Second revisions are added rows: no row of the source tables is left
-out.  Exploit and module records list at most ``CHUNK`` advisories each, so a record stays bounded
+(``oracle`` uses them too).  Every row of the source tables goes into the feeds built on its table; line items that
+stand for no known exploitation, exploit or module give records and codes that name no advisory.  Second revisions are added
+rows.  Exploit and module records list at most ``CHUNK`` codes each, so a record stays bounded
 when one part or supplier holds a large share of the line items.
 """
 
@@ -70,16 +71,21 @@ FROM {lineitem}
 
 KEV = """
 WITH g AS (
-  SELECT l_orderkey AS k, min(l_suppkey) AS sk, min(l_partkey) AS pk, cast(min(l_shipdate) AS date) AS d
-  FROM {lineitem} WHERE l_returnflag = 'R' AND l_discount >= 0.08 GROUP BY l_orderkey),
+  SELECT l_orderkey AS k, min(l_suppkey) AS sk, min(l_partkey) AS pk, cast(min(l_shipdate) AS date) AS d,
+         max(CASE WHEN l_returnflag = 'R' AND l_discount >= 0.08 THEN 1 ELSE 0 END) AS known
+  FROM {lineitem} GROUP BY l_orderkey),
 r AS (SELECT *, 0 AS rev FROM g UNION ALL SELECT *, 1 FROM g WHERE k % 10 = 0)
-SELECT CVE_OF_K AS cveID,
+SELECT CASE WHEN known = 1 THEN CVE_OF_K ELSE concat('OTHER-', cast(k AS string)) END AS cveID,
        CASE WHEN sk % 19 = 0 THEN '' ELSE concat(' Vendor ', cast(sk % 40 AS string), ' ') END AS vendorProject,
        concat('Product ', cast(pk % 60 AS string)) AS product,
        concat('Issue ', cast(k AS string)) AS vulnerabilityName,
        CASE WHEN k % 43 = 0 THEN 'unknown' ELSE cast(d AS string) END AS dateAdded,
        'Apply updates' AS requiredAction,
        cast(d + 21 AS string) AS dueDate,
+       concat(' Summary ', cast(k % 50 AS string)) AS shortDescription,
+       concat('Note ', cast(k % 7 AS string)) AS notes,
+       '2001.08.02' AS catalogVersion,
+       concat(cast(d + 30 AS string), 'T00:00:00.000Z') AS dateReleased,
        CASE WHEN rev = 1 THEN 'KNOWN' WHEN k % 3 = 0 THEN 'Known' ELSE 'Unknown' END AS knownRansomwareCampaignUse,
        CASE WHEN rev = 0 THEN timestamp '2001-08-01 00:00:00' ELSE timestamp '2001-08-02 00:00:00' END AS _ingested_at,
        cast(rev AS string) AS _batch_id
@@ -88,9 +94,9 @@ FROM r
 
 EXPLOITS = """
 WITH u AS (
-  SELECT l_partkey AS pk, cast(floor(l_orderkey / CHUNK) AS bigint) AS ch, CVE_OF_LINE AS cve,
-         cast(min(l_shipdate) AS date) AS sd
-  FROM {lineitem} WHERE l_quantity >= 45 GROUP BY l_partkey, l_orderkey),
+  SELECT l_partkey AS pk, cast(floor(l_orderkey / CHUNK) AS bigint) AS ch, cast(min(l_shipdate) AS date) AS sd,
+         CASE WHEN max(l_quantity) >= 45 THEN CVE_OF_LINE ELSE concat('EDB-', cast(l_orderkey AS string)) END AS cve
+  FROM {lineitem} GROUP BY l_partkey, l_orderkey),
 g AS (SELECT pk, ch, min(sd) AS d, listagg(cve, ';') WITHIN GROUP (ORDER BY cve) AS cves FROM u GROUP BY pk, ch)
 SELECT CASE WHEN pk % 211 = 0 THEN '' ELSE concat(cast(pk AS string), '-', cast(ch AS string)) END AS id,
        concat('exploits/', cast(pk AS string), '.py') AS file,
@@ -108,9 +114,10 @@ FROM g
 
 MODULES = """
 WITH u AS (
-  SELECT l_suppkey AS sk, cast(floor(l_orderkey / CHUNK) AS bigint) AS ch, CVE_OF_LINE AS cve,
-         cast(min(l_shipdate) AS date) AS sd
-  FROM {lineitem} WHERE l_tax >= 0.08 AND l_quantity >= 48 GROUP BY l_suppkey, l_orderkey),
+  SELECT l_suppkey AS sk, cast(floor(l_orderkey / CHUNK) AS bigint) AS ch, cast(min(l_shipdate) AS date) AS sd,
+         CASE WHEN max(CASE WHEN l_tax >= 0.08 THEN l_quantity ELSE 0 END) >= 48 THEN CVE_OF_LINE
+              ELSE concat('URL-', cast(l_orderkey AS string)) END AS cve
+  FROM {lineitem} GROUP BY l_suppkey, l_orderkey),
 g AS (SELECT sk, ch, min(sd) AS d, listagg(cve, '","') WITHIN GROUP (ORDER BY cve) AS cves FROM u GROUP BY sk, ch)
 SELECT concat('exploit/multi/mod_', cast(sk AS string), '_', cast(ch AS string)) AS fullname,
        concat('mod_', cast(sk AS string)) AS name,
@@ -132,25 +139,10 @@ FROM g
 STATEMENTS = {"nvd": NVD, "kev": KEV, "epss": EPSS, "exploits": EXPLOITS, "modules": MODULES}
 
 
-# Columns that tell rows apart, so that a hash of them is even whatever key is frequent.
-ROW_ID = {"orders": ("o_orderkey",), "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")}
-
-
-def spread(df: DataFrame, row_id: tuple[str, ...]) -> DataFrame:
-    """Use all cores where the input has fewer splits than the session has cores.
-
-    Deriving and parsing cost much more than reading, and a small file is one split.  Inputs of
-    cluster size have more splits than cores and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *row_id)
-
-
 def _view(spark: SparkSession, sf_dir: str, table: str) -> str:
     name = f"cveflow_{table}_{zlib.crc32(sf_dir.encode()):08x}"
     if not spark.catalog.tableExists(name):
-        source = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
-        spread(source, ROW_ID[table]).createOrReplaceTempView(name)
+        spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").createOrReplaceTempView(name)
     return name
 
 

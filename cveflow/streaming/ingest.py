@@ -39,9 +39,16 @@ def ingest_incremental(
 
 
 def to_table(path: str) -> Callable[[DataFrame, int], None]:
-    """Append every batch under its own number; a repeated batch overwrites itself."""
+    """Append every batch under its own number; a repeated batch overwrites itself.
+
+    A lost checkpoint would start again with batch 0 beside the batches of before; that fails.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        later = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{EPOCH}={epoch + 1}")
+        if later.getFileSystem(spark._jsc.hadoopConfiguration()).exists(later):
+            raise ValueError(f"{path} holds later batches than {epoch}: its checkpoint is not the one it was written with")
         batch.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
 
     return write

@@ -21,11 +21,15 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from cveflow import scratch
+
+    scratch.clear(session)
     session.stop()
 
 

@@ -1,5 +1,6 @@
 """Whole daily runs, incremental pickup and the sinks."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from cveflow import daily, ingest, schema, sinks, testfeeds, views
@@ -27,6 +28,37 @@ def test_two_runs(spark, tables, tmp_path):
     assert history.count() == 40 and views.latest_kpis(history).count() == 20
 
 
+def test_two_runs_by_table_name(spark, tables):
+    raw = raw_tables(tables)
+    early = {**raw, "nvd": raw["nvd"].where("published < '2000-01-01'")}
+    late = {**raw, "nvd": raw["nvd"].where("published >= '1999-01-01'")}
+    spark.sql("DROP DATABASE IF EXISTS daily_runs CASCADE")
+    first = daily.run_tables(spark, early, "daily_runs", as_of="2001-08-01", tiebreak=testfeeds.TIEBREAK)
+    part = spark.table("daily_runs.master").count()
+    second = daily.run_tables(spark, late, "daily_runs", as_of="2001-08-02", tiebreak=testfeeds.TIEBREAK)
+    total = tables.nvd().count()
+    assert first == second and part < total == spark.table("daily_runs.master").select("cve_id").distinct().count()
+    assert spark.table("daily_runs.kpis").count() == 40
+    links = spark.table("daily_runs.exploit_ids").groupBy("cve_id").count().count()
+    assert links >= spark.table("daily_runs.master").where("has_public_exploit").count() > 0
+    names = views.create_views(spark, "daily_runs", as_of="2001-08-02")
+    frames = views.register_views(
+        spark, {n: spark.table(f"daily_runs.{n}") for n in ("master", "risk", "trends", "readiness", "kpis")}, as_of="2001-08-02")
+    for name, frame in zip(names, frames):
+        stored, plain = spark.table(name), spark.table(frame)
+        assert stored.columns == plain.columns
+        assert sorted(map(str, stored.collect())) == sorted(map(str, plain.collect())), name
+    spark.sql("DROP DATABASE daily_runs CASCADE")
+
+
+def test_lost_checkpoint_fails(spark, tmp_path):
+    write = ingest.to_table(str(tmp_path / "t"))
+    batch = spark.createDataFrame([("a",)], "cve string")
+    write(batch, 0), write(batch, 1)
+    with pytest.raises(ValueError, match="checkpoint"):
+        write(batch, 0)
+
+
 def test_incremental_pickup_sees_only_new_files(spark, tmp_path):
     inbox, table, state = (str(tmp_path / n) for n in ("in", "table", "state"))
     shape = "cve string, epss string"

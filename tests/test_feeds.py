@@ -60,7 +60,7 @@ def test_exploit_csv_by_name_with_quoted_newline(spark, tmp_path):
         '1,f.py,"two\nlines, ""quoted""",2024-01-01,me,remote,linux,80,2024-01-02,CVE-2024-0001;OSVDB-1,x\n'
         "2,g.py,plain,2024-01-01,me,local,,,2024-01-02,,\n"
     )
-    rows = {r.id: r for r in feeds.read_exploits(spark, str(tmp_path / "x.csv")).collect()}
+    rows = {r.id: r for r in feeds.read_exploits(spark, str(tmp_path / "x.csv"), multiline=True).collect()}
     assert rows["1"].description == 'two\nlines, "quoted"'
     assert (rows["1"].type, rows["1"].platform, rows["1"].codes) == ("remote", "linux", "CVE-2024-0001;OSVDB-1")
     assert (rows["2"].platform, rows["2"].port, rows["2"].codes) == ("", "", "")
@@ -98,10 +98,25 @@ def test_clean_tables_have_the_declared_types(spark, tables):
         assert have == {f.name: f.dataType.simpleString() for f in schema.CLEAN[feed].fields}
 
 
-def test_top_up_only_below_the_target(spark):
+def test_dated_epss_folders_are_read_once(spark, tmp_path):
+    for day in ("2024-01-05", "2024-01-06"):
+        (tmp_path / f"date={day}").mkdir()
+        (tmp_path / f"date={day}" / "a.csv").write_text(f"#score_date:{day}\ncve,epss,percentile\nCVE-2024-0001,0.1,0.2\n")
+    df = feeds.read_epss(spark, str(tmp_path), dated=True)
+    assert sorted(map(tuple, df.collect())) == [("CVE-2024-0001", "0.1", "0.2", "2024-01-05"), ("CVE-2024-0001", "0.1", "0.2", "2024-01-06")]
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "Join" not in text
+
+
+def test_release_date_of_a_catalogue(spark):
+    raw = spark.createDataFrame([("CVE-2024-0001", "2001-08-02T00:00:00.000Z"), ("CVE-2024-0002", "soon")], "cveID string, dateReleased string")
+    rows = clean.kev_rows(schema.conform(raw, schema.RAW["kev"])).collect()
+    assert {r.cve_id: str(r.date_released) for r in rows} == {"CVE-2024-0001": "2001-08-02", "CVE-2024-0002": "None"}
+
+
+def test_top_up_by_name(spark):
     df, extra = spark.range(10).withColumn("x", F.lit("a")), spark.range(3)
-    assert feeds.top_up(df, extra, bytes_per_row=100, target_bytes=1000).count() == 10
-    more = feeds.top_up(df, extra, bytes_per_row=100, target_bytes=1001)
+    more = feeds.top_up(df, extra)
     assert more.count() == 13 and more.where("x is null").count() == 3
 
 

@@ -5,10 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from cveflow import clean, dedup, kpis, master, risk, scratch, sinks, testfeeds, trends, views
+from cveflow import clean, dedup, kpis, master, merge, registry, risk, scratch, sinks, testfeeds, trends, views
 
-QUERIES = entry.queries()
+QUERIES = registry.QUERIES
 
 
 def plan(df):
@@ -34,7 +33,7 @@ def test_latest_epss_from_rows_shuffles_once(tables):
 
 
 def test_master_joins_add_no_shuffle(spark, tables):
-    """From stored cleaned tables: one exchange per table for its key, four for each roll-up's lists."""
+    """From stored cleaned tables: one scan and one exchange for each of the five."""
     stored = {f: scratch.stored(getattr(tables, f)(), f) for f in ("nvd", "kev", "epss", "exploits", "modules")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -42,30 +41,29 @@ def test_master_joins_add_no_shuffle(spark, tables):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     exchanges = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)
-    keys = [re.sub(r"#\d+L?", "", e) for e in exchanges]
-    salted = [k for k in keys if k == "cve_id, _salt"]
-    assert set(keys) == {"cve_id", "cve_id, _salt"} and len(salted) == 4
-    assert len(keys) - len(salted) == 3 + 2 * 3
+    assert len(exchanges) == 5 and {re.sub(r"#\d+L?", "", e) for e in exchanges} == {"cve_id"}
+    assert text.count("FileScan") == 5
 
 
-def test_large_inputs_are_not_spread(spark, sf_dir):
-    many = spark.range(0, 100, 1, 64)
-    assert testfeeds.spread(many, ("id",)) is many
-    assert testfeeds.spread(spark.range(0, 100, 1, 1), ("id",)).rdd.getNumPartitions() == 8
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-def test_risk_ranks_in_one_task_only_the_bucket_sizes(tables):
-    text = plan(risk.score(tables.master(), as_of=testfeeds.AS_OF))
-    singles = [m.end() for m in re.finditer(r"Exchange SinglePartition", text)]
-    assert singles
-    for at in singles:
-        assert re.match(r".*\n[^\n]*HashAggregate\(keys=\[_bucket#", text[at:])
+def test_master_rows_are_not_moved_to_be_ranked(tables):
+    scored = tables.master().select("cve_id", risk.composite().alias(risk.SCORE))
+    for df in (risk.score(tables.master(), as_of=testfeeds.AS_OF), dedup.dense_rank_by_value(scored, risk.SCORE, "r", most=10_004)):
+        text = executed(df)
+        probe, build = text.split("BroadcastQueryStage" if "BroadcastQueryStage" in text else "BroadcastExchange", 1)
+        assert "BroadcastHashJoin" in probe and text.count("FileScan") == 2
+        single = re.search(r"Exchange SinglePartition.*\n[^\n]*", build)
+        assert single and "Exchange" not in build.split("FileScan")[1]
 
 
-def test_master_rows_are_not_moved_to_be_ranked(tables):
-    text = plan(risk.score(tables.master(), as_of=testfeeds.AS_OF))
-    main = text.split("Union")[1]
-    assert "BroadcastHashJoin" in main.split("FileScan")[0] and "Exchange hash" not in main.split("FileScan")[0]
+def test_first_load_and_merge_check_narrow_keys(spark, tables):
+    for target in (None, tables.risk()):
+        text = plan(merge.upsert(target, tables.risk(), ["cve_id"]))
+        assert "Window" not in text
 
 
 def test_trends_scan_the_master_once(tables):
@@ -80,7 +78,7 @@ def test_date_filters_reach_the_reader_and_columns_are_pruned(tables):
     text = tables_text = plan(kpis.alerts(tables.master(), as_of=testfeeds.AS_OF))
     assert "GreaterThanOrEqual(published_ts" in text
     schema = re.search(r"ReadSchema: struct<(.*?)\n", tables_text).group(1)
-    assert "exploit_ids" not in schema and "last_modified_ts" not in schema
+    assert "exploit_types" not in schema and "last_modified_ts" not in schema
 
 
 def test_run_date_prunes_partitions(spark, tables):
@@ -116,5 +114,5 @@ def test_shared_folder_is_the_configured_one(spark):
 
 def test_generic_rank_join_is_an_equi_join(tables):
     scored = tables.master().select("cve_id", risk.composite().alias(risk.SCORE))
-    text = plan(dedup.dense_rank_by_value(scored, risk.SCORE, "r", lo=0, hi=1))
+    text = plan(dedup.dense_rank_by_value(scored, risk.SCORE, "r", most=10_004))
     assert "NestedLoop" not in text

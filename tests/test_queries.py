@@ -4,8 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from cveflow import registry
+from cveflow.oracle import sql
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = registry.QUERIES, sql.Q
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +17,7 @@ def duck(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
