@@ -111,10 +111,6 @@ def _labelled(docs: DataFrame, labels: DataFrame, label_col: str) -> tuple[DataF
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray, float]:
     """Weights of a classifier for ``label_col`` of ``labels``, fitted in one task on the bounded sample."""
     sample, weight = _labelled(docs, labels, label_col)
-    if len(weight) < 2:
-        share = 1.0 if 1 in weight else 0.0
-        none = np.zeros(1 << BITS, np.float32)
-        return none, none, float(np.log((share + 1e-6) / (1 - share + 1e-6)))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << BITS, bool)
@@ -137,6 +133,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tuple
                     label.append(y)
                     room -= b - a
         label = np.array(label)
+        if len(set(label)) < 2:
+            return
         weights, squares, bias = fit(rows, label, np.array([weight[y] for y in label]))
         model = [weights.tobytes(), squares.tobytes(), np.float64(bias).tobytes()]
         yield pa.RecordBatch.from_arrays([pa.array([0, 1, 2]), pa.array(model, pa.binary())], ["part", "data"])
@@ -145,6 +143,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tuple
     rows = texts(docs).join(F.broadcast(sample), "doc_id").select(F.xxhash64("doc_id").alias("part"), "label", "text")
     found = rows.mapInArrow(extract, "part bigint, label int, features array<int>")
     model = found.repartition(1).sortWithinPartitions("part").mapInArrow(learn, "part bigint, data binary").collect()
+    if not model:
+        share = rows.agg(F.coalesce(F.avg("label"), F.lit(0.0))).first()[0]
+        none = np.zeros(1 << BITS, np.float32)
+        return none, none, float(np.log((share + 1e-6) / (1 - share + 1e-6)))
     data = {r.part: bytes(r.data) for r in model}
     return np.frombuffer(data[0], np.float32), np.frombuffer(data[1], np.float32), float(np.frombuffer(data[2])[0])
 
