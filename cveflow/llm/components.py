@@ -17,25 +17,24 @@ def _linked_to_least(edges: DataFrame, total: int, upward: bool) -> DataFrame:
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every edge leads straight to a root: each ``u`` has one edge, and no ``v`` is a ``u``."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up")).distinct())
+    return ends.groupBy("x").agg(F.count("*").alias("n"), F.sum("up").alias("up")).where("n > 1 and up > 0").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` of every node of ``edges`` (``u, v``, never null): root is the least node it is linked to.
 
-    Each round halves the distance to the root or so; rounds end when the edges stay as they are, which
-    is when every node is linked to its root alone.  Nodes without edges are not in the result.
+    Each round halves the distance to the root or so; rounds end when every node is linked to its root
+    alone.  Nodes without edges are not in the result.
     """
-    def marks(df):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
     current = stored(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
-    mark = marks(current)
-    while True:
+    while not _settled(current):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = stored(_linked_to_least(both, 2 * mark[0], True).where("u <> v").distinct(), "large-star")
-        after = stored(_linked_to_least(large, large.count(), False).where("u <> v").distinct(), "small-star")
-        mark, before = marks(after), mark
-        if mark == before:
-            break
-        current = after
-    return after.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-        after.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        large = stored(_linked_to_least(both, 2 * current.count(), True).where("u <> v").distinct(), "large-star")
+        current = stored(_linked_to_least(large, large.count(), False).where("u <> v").distinct(), "small-star")
+    return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

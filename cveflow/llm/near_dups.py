@@ -4,13 +4,15 @@
     stood for by its smallest id.
 2.  Bands of ``ROWS`` minima put representatives into buckets; there are as many bands as keep the
     chance of missing a pair at the threshold below ``MISS``.
-3.  Each member of a bucket is compared with the bucket's pivot, and the best partner of each document is verified on the
-    full sets.  That joins most of a group with few comparisons.
-4.  Buckets whose members are still in different components are compared pair by pair, in blocks of at most
-    ``BLOCK`` members, so a large bucket is spread over many tasks; pairs within a component are passed over.  Signatures are
-    compared batch after batch: with m of n values equal the similarity has a Beta posterior, and a pair goes once the chance
-    that it reaches the threshold is below ``MISS``.  Only survivors become rows, once for each pair.
-5.  Survivors are verified on the full sets; the links of 3 and 5 make the components.
+3.  Each member of a bucket is compared with the bucket's pivot, and the best partner of each document is verified on
+    the full sets.  Members with the same verified partner are one cluster.
+4.  Buckets whose members are in different clusters are compared pair by pair, in blocks of at most ``BLOCK`` members, so
+    a large bucket is spread over many tasks; pairs within a cluster are passed over.  A pair can't share more
+    shingles than either has in common with any other open document.  Signatures are compared batch after batch: with m of n
+    values equal the similarity has a Beta posterior, and a pair goes once the chance that it reaches the threshold is
+    below ``MISS``.  The best pair of any two clusters is verified, which joins nearly all that belong together.
+5.  What is still apart is compared in the same way once more, and now every surviving pair is verified.
+6.  The links of 3, 4 and 5 make the components.
 
 Pairs in one component that are not compared can't change it, so no link between components is lost.
 
@@ -125,15 +127,16 @@ def _profiles(docs: DataFrame, n_bands: int) -> DataFrame:
                 one, two = shingles.fingerprints(hashes, at)
                 minima = shingles.minima(hashes, at, SIGNATURE)
                 keys = _band_keys(minima, n_bands).astype(np.int32)
-                found = [hashes[a:b].tobytes() for a, b in zip(at[:-1][full], at[1:][full])]
+                bounds = np.append(0, np.cumsum(np.diff(at)[full])).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").filter(pa.array(full)), pa.array(one[full]), pa.array(two[full]),
                      pa.array([r.tobytes() for r in minima.astype(np.uint8)], pa.binary()),
-                     pa.array([r.tobytes() for r in keys], pa.binary()), pa.array(found, pa.binary())],
+                     pa.array([r.tobytes() for r in keys], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(hashes.view(np.int64)))],
                     ["node", "f1", "f2", "signature", "short_keys", "hashes"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"node {kind}, f1 bigint, f2 bigint, signature binary, short_keys binary, hashes binary")
+    return docs.mapInArrow(run, f"node {kind}, f1 bigint, f2 bigint, signature binary, short_keys binary, hashes array<bigint>")
 
 
 def _likely(pairs: DataFrame, signatures: DataFrame, threshold: float) -> DataFrame:
@@ -157,20 +160,15 @@ def _verified(pairs: DataFrame, profiles: DataFrame, threshold: float) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            sets = [(np.asarray(c.values), offsets(c)) for c in (batch.column("hu"), batch.column("hv"))]
             keep = []
-            for one, two in zip(batch.column("hu"), batch.column("hv")):
-                one, two = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(two.as_buffer(), np.uint64)
-                both = len(one) + len(two)
-                common = both
-                if 100 * min(len(one), len(two)) >= percent * max(len(one), len(two)):
-                    merged = np.concatenate((one, two))
-                    merged.sort(kind="stable")
-                    common = int((merged[1:] == merged[:-1]).sum())
-                    keep.append(100 * common >= percent * (both - common))
-                else:
-                    keep.append(False)
-            kept = batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-            yield kept
+            for i in range(batch.num_rows):
+                one, two = (values[at[i] : at[i + 1]] for values, at in sets)
+                merged = np.concatenate((one, two))
+                merged.sort(kind="stable")
+                common = int((merged[1:] == merged[:-1]).sum())
+                keep.append(100 * common >= percent * (len(merged) - common))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.select("u", "v").join(profiles.select(F.col("node").alias("u"), F.col("hashes").alias("hu")), "u").join(
         profiles.select(F.col("node").alias("v"), F.col("hashes").alias("hv")), "v")
@@ -178,17 +176,29 @@ def _verified(pairs: DataFrame, profiles: DataFrame, threshold: float) -> DataFr
     return joined.select("u", "v", "hu", "hv").mapInArrow(run, f"u {kind}, v {kind}")
 
 
-def _block_pairs(members: DataFrame, n_bands: int, threshold: float) -> DataFrame:
-    """Likely pairs ``u, v`` from different components of each bucket; every pair in the first band they share.
+def _best(found: list[np.ndarray]) -> list[np.ndarray]:
+    """Of the columns ``u, v, ru, rv, equal`` the row with the most equal values of any two clusters."""
+    u, v, ru, rv, equal = found
+    low, high = np.minimum(ru, rv), np.maximum(ru, rv)
+    order = np.lexsort((-equal, high, low))
+    first = np.ones(len(order), bool)
+    first[1:] = (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])
+    return [c[order[first]] for c in found]
 
-    ``members``: ``key, n, node, root, signature, short_keys``.
+
+def _block_pairs(members: DataFrame, n_bands: int, threshold: float, best: bool) -> DataFrame:
+    """Likely pairs ``u, v`` from different clusters ``ru, rv`` of each bucket, in the first band they share.
+
+    With ``best`` only the likeliest pair of any two clusters in a block is reported.
+    ``members``: ``key, n, node, root, signature, short_keys, size, common``.
     """
+    percent = round(100 * threshold)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int")
     dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select(
         "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).alias("second"),
-        (F.col("own") == F.col("other")).alias("alone"), "node", "root", "signature", "short_keys")
+        (F.col("own") == F.col("other")).alias("alone"), "node", "root", "signature", "short_keys", "size", "common")
     group = ["key", "low", "high"]
     dealt = dealt.repartition(*group).sortWithinPartitions(*group, "second", "node")
     kind = members.schema["node"].dataType.simpleString()
@@ -199,7 +209,7 @@ def _block_pairs(members: DataFrame, n_bands: int, threshold: float) -> DataFram
         signature = _bytes(batch.column("signature"), SIGNATURE)
         short = _bytes(batch.column("short_keys"), 4 * n_bands, np.int32)
         root, alone = np.asarray(batch.column("root")), np.asarray(batch.column("alone"))
-        second = np.asarray(batch.column("second"))
+        second, size_of, common = (np.asarray(batch.column(c)) for c in ("second", "size", "common"))
         n = batch.num_rows
         new = np.ones(n, bool)
         new[1:] = (names[0][1:] != names[0][:-1]) | (names[1][1:] != names[1][:-1]) | (names[2][1:] != names[2][:-1])
@@ -209,27 +219,30 @@ def _block_pairs(members: DataFrame, n_bands: int, threshold: float) -> DataFram
         middle = np.repeat(end[start] - np.add.reduceat(second.astype(np.int64), start), size)
         first = np.where(alone, np.arange(n) + 1, middle)
         partners = np.where(second, 0, np.maximum(end - first, 0))
-        found_u, found_v = [], []
+        found = [np.zeros((5, 0), np.int64)]
         ends = np.cumsum(partners)
         at = 0
         while at < n:
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
             one = np.repeat(np.arange(at, to), partners[at:to])
             two = ranges(first[at:to], partners[at:to])
-            apart = root[one] != root[two]
-            one, two = one[apart], two[apart]
-            place, _ = survivors(signature[one], signature[two], threshold)
+            most = np.minimum(common[one], common[two])
+            open_ = (root[one] != root[two]) & (100 * most >= percent * (size_of[one] + size_of[two] - most))
+            one, two = one[open_], two[open_]
+            place, equal = survivors(signature[one], signature[two], threshold)
             one, two = one[place], two[place]
-            # the first band in which the two agree reports the pair
-            shared = short[one] == short[two]
-            band = shared.argmax(1) if len(one) else np.zeros(0, np.int64)
-            here = short[one, band] == names[0][one].astype(np.int32) if len(one) else np.zeros(0, bool)
-            found_u.append(one[here])
-            found_v.append(two[here])
+            if len(one):
+                # the first band in which the two agree reports the pair
+                band = (short[one] == short[two]).argmax(1)
+                here = short[one, band] == names[0][one].astype(np.int32)
+                one, two, equal = one[here], two[here], equal[here]
+                pairs = [one, two, root[one], root[two], equal]
+                found.append(np.stack(_best(pairs) if best else pairs))
             at = to
+        u, v, ru, rv, equal = _best(list(np.concatenate(found, 1))) if best else np.concatenate(found, 1)
         node = batch.column("node")
-        u, v = (pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (found_u, found_v))
-        return pa.RecordBatch.from_arrays([node.take(u), node.take(v)], ["u", "v"])
+        return pa.RecordBatch.from_arrays(
+            [node.take(pa.array(u)), node.take(pa.array(v)), pa.array(ru), pa.array(rv), pa.array(equal)], ["u", "v", "ru", "rv", "equal"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
@@ -248,7 +261,30 @@ def _block_pairs(members: DataFrame, n_bands: int, threshold: float) -> DataFram
         if rest:
             yield compare(pa.Table.from_batches(rest).combine_chunks().to_batches(max_chunksize=None)[0])
 
-    return dealt.mapInArrow(run, f"u {kind}, v {kind}")
+    return dealt.mapInArrow(run, f"u {kind}, v {kind}, ru {kind}, rv {kind}, equal bigint")
+
+
+def _open(members: DataFrame, roots: DataFrame, profiles: DataFrame, threshold: float) -> DataFrame:
+    """Members of buckets that hold several clusters, with all that a comparison needs."""
+    rooted = stored(members.join(roots, "node", "left").select(
+        "key", "node", F.col("size").alias("n"), F.coalesce("root", "node").alias("root")), "rooted")
+    apart = rooted.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("one"), F.max("root").alias("two"))
+    apart = stored(apart.where("one <> two").select("key", "n"), "apart")
+    found = stored(attach(rooted.drop("n"), apart.withColumn("size", F.col("n")), ["key"], rooted.count()).withColumnRenamed("size", "n"), "open")
+    common = _common(found.select("node").distinct(), profiles)
+    able = profiles.select("node", "signature", "short_keys").join(
+        common.where(F.col("common") * 100 >= F.col("size") * round(100 * threshold)), "node")
+    return found.join(able, "node")
+
+
+def _common(nodes: DataFrame, profiles: DataFrame) -> DataFrame:
+    """``node, size, common``: shingles of each node, and how many of them any other of the nodes has."""
+    own = profiles.join(nodes, "node", "left_semi")
+    holders = own.select("node", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+    lone = holders.where("n = 1").groupBy("node").agg(F.count("*").alias("lone"))
+    size = F.size("hashes").cast("bigint")
+    return own.select("node", size.alias("size")).join(lone, "node", "left").select(
+        "node", "size", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("common"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -276,19 +312,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     starred = members.where("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
     best = _likely(starred, profiles, threshold).groupBy("u").agg(F.max_by("v", F.struct("equal", "v")).alias("v"))
     stars = stored(_verified(best, profiles, threshold), "stars")
-    roots = components(stars)
-
-    # pairs of members that are still apart
-    rooted = stored(members.join(roots, "node", "left").select(
-        "key", "node", F.col("size").alias("n"), F.coalesce("root", "node").alias("root")), "rooted")
-    apart = rooted.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("one"), F.max("root").alias("two"))
-    apart = stored(apart.where("one <> two").select("key", "n"), "apart")
-    open_members = attach(rooted.drop("n"), apart.withColumn("size", F.col("n")), ["key"], rooted.count()).withColumnRenamed("size", "n")
-    likely = stored(_block_pairs(open_members.join(profiles.select("node", "signature", "short_keys"), "node"), n_bands, threshold).distinct(), "likely")
-    more = _verified(likely, profiles, threshold)
 
-    final = stored(components(stars.unionByName(more)), "components")
-    labels = classes.join(final.hint("merge"), "node", "left").select(*fingerprint, "n", F.coalesce("root", "node").alias("component_id"))
+    # the best pair of any two clusters, then every pair that is still apart
+    pairs = _block_pairs(_open(members, stars.select(F.col("u").alias("node"), F.col("v").alias("root")), profiles, threshold), n_bands, threshold, True)
+    pair = pairs.groupBy(F.least("ru", "rv"), F.greatest("ru", "rv")).agg(F.max_by(F.struct("u", "v"), F.struct("equal", "u", "v")).alias("best"))
+    roots = stored(components(stars.unionByName(_verified(pair.select("best.*"), profiles, threshold))), "roots")
+    rest = _block_pairs(_open(members, roots, profiles, threshold), n_bands, threshold, False)
+    links = _verified(stored(rest.select("u", "v").distinct(), "likely"), profiles, threshold)
+
+    # links between components of the first links join those
+    joined = roots.select(F.col("node").alias("u"), F.col("root").alias("ru"))
+    links = links.join(joined, "u", "left").join(joined.select(F.col("u").alias("v"), F.col("ru").alias("rv")), "v", "left")
+    later = components(links.select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v")))
+    later = later.select(F.col("node").alias("first"), F.col("root").alias("last"))
+    labels = classes.join(roots.hint("merge"), "node", "left").withColumn("first", F.coalesce("root", "node"))
+    labels = labels.join(later.hint("merge"), "first", "left").select(*fingerprint, "n", F.coalesce("last", "first").alias("component_id"))
     linked = attach(linkable.select("doc_id", *fingerprint), labels, fingerprint, linkable.count()).select("doc_id", "n_shingles", "component_id")
     alone = found.where((F.col("n_shingles") == 0) | F.col("doc_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
