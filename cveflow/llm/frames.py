@@ -21,14 +21,17 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def attach(rows: DataFrame, named: DataFrame, keys: Sequence[str], total: int) -> DataFrame:
     """Inner join of ``rows`` with ``named`` (one row per key, ``n`` = its rows in ``rows``) that hot keys don't skew.
 
-    Keys of more than ``total / HOT_SHARE`` rows are fewer than HOT_SHARE and are broadcast; rows of
-    all other keys are shuffled, where no key can hold more than that share.  Keys are never null.
+    Keys of more than ``total / HOT_SHARE`` rows are fewer than HOT_SHARE, so the driver may hold their hashes;
+    their names are broadcast.  Rows of all other keys are shuffled, where no key can hold more than that share.
+    Keys are never null.
     """
-    limit = total // HOT_SHARE
-    hot, rest = named.where(F.col("n") > limit).drop("n"), named.where(F.col("n") <= limit).drop("n")
-    keys = list(keys)
-    cold = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti")
-    return rows.join(F.broadcast(hot), keys).unionByName(cold.join(rest, keys))
+    keys, mark = list(keys), F.xxhash64(*keys)
+    hot = [r.mark for r in named.where(F.col("n") > total // HOT_SHARE).select(mark.alias("mark")).distinct().collect()]
+    named = named.drop("n")
+    if not hot:
+        return rows.join(named, keys)
+    common = rows.where(mark.isin(hot)).join(F.broadcast(named.where(mark.isin(hot))), keys)
+    return common.unionByName(rows.where(~mark.isin(hot)).join(named.where(~mark.isin(hot)), keys))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
