@@ -6,7 +6,9 @@ padded to the limit of its bucket; a batch holds as many documents as the budget
 over ``longest`` are batches of their own, unpadded.  The places in a bucket are numbered by shards of a
 hash of the id, so no task sees a whole bucket; every batch but the last of a bucket is full.
 
-Nulls: a null text or length counts as 0; rows with a null id are packed like others.  Repeated rows are
+``pack_tokens`` takes exact token counts, the end token included; ``pack_documents`` takes words.
+
+Nulls: a null text has no words and one token, the end; a null length counts as 0; rows with a null id are packed like others.  Repeated rows are
 packed each for itself.  An empty table gives an empty result.
 """
 
@@ -16,6 +18,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cveflow.llm import piece_codec
+from cveflow.scratch import stored
+
 BUCKETS = 16
 LONGEST = 8192
 BUDGET = 32768
@@ -26,7 +31,7 @@ SPAN = 1 << 44
 
 
 def words(text: Column) -> Column:
-    """Number of words of a text, the unit of length here."""
+    """Number of words of a text."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
@@ -96,6 +101,11 @@ def pack(lengths: DataFrame, buckets: int = BUCKETS, longest: int = LONGEST, bud
         (F.col("place") % F.col("holds")).cast("int").alias("slot"))
 
 
+def pack_tokens(docs: DataFrame, model_path: str, buckets: int = BUCKETS, longest: int = LONGEST, budget: int = BUDGET) -> DataFrame:
+    """``pack`` for documents by their tokens in the SentencePiece model at ``model_path``, counted once."""
+    return pack(stored(piece_codec.counts(docs, model_path), "lengths"), buckets, longest, budget)
+
+
 def pack_documents(docs: DataFrame, buckets: int = BUCKETS, longest: int = LONGEST, budget: int = BUDGET) -> DataFrame:
-    """``pack`` for documents, a word being a token."""
+    """``pack`` for documents by words: all limits are words here, which hold several tokens each, any number where a text has no spaces."""
     return pack(docs.select("doc_id", words(F.col("text")).alias("n_tokens")), buckets, longest, budget)

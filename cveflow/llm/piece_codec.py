@@ -407,6 +407,22 @@ def encode(docs: DataFrame, model_path: str, decoded: bool = False) -> DataFrame
     return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>" + ", decoded string" * decoded)
 
 
+def counts(docs: DataFrame, model_path: str) -> DataFrame:
+    """``doc_id, n_tokens`` of every document, the end id among them."""
+    shared = _broadcast(docs, model_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _worker(shared)
+        for whole in batches:
+            for batch in slices(whole):
+                at = words.encode(batch.column("text").to_pylist())[1]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(at))], ["doc_id", "n_tokens"])
+
+    rows = texts(docs)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint")
+
+
 def decode(tokens: DataFrame, model_path: str) -> DataFrame:
     """``doc_id, decoded`` for rows of ``doc_id, ids``."""
     shared = _broadcast(tokens, model_path)

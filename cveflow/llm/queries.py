@@ -34,8 +34,8 @@ def op5_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch and place of every document."""
-    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+    """Batch and place of every document, lengths in tokens of ``op1_piece_codec``."""
+    return packing.pack_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
