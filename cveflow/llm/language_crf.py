@@ -5,9 +5,10 @@ hashed; each has a weight for every language, and neighbouring words are tied by
 Forward-backward over ``SEGMENT`` words at a time gives every word its language probabilities, in code-switched
 text too; a document's language has the highest mean probability.
 
-The fit uses the words of at most about ``FIT`` documents of each language, chosen by a hash of the id.  As those are
-mostly in one language, every fourth training segment is spliced from two documents, which teaches
-the transitions that a text may switch.
+The fit uses the words of at most about ``FIT`` documents of each language, chosen by a hash of the id.  Every language
+has the same share of ``FIT_WORDS``, taken in the order of another hash; a document gives at most a ``FIT_PARTS``-th of
+it, in segments spread over its text.  As the documents are mostly in one language, every fourth training segment is
+spliced from two documents, which teaches the transitions that a text may switch.
 
 Nulls: a text that is null or has no letter is ``und`` with score 0; documents without id or language
 are not learnt from.  Without any language to learn everything is ``und``.
@@ -25,9 +26,11 @@ from pyspark.sql import DataFrame, functions as F
 from cveflow.llm.arrow import ranges, slices
 from cveflow.llm.frames import held_out, texts
 
-#: Documents of each language that a fit uses, about, and words of them all together.
+#: Documents of each language that a fit uses, about, words of all languages together, and the least number of
+#: documents that use up the words of a language, if its share has that many segments.
 FIT = 300
 FIT_WORDS = 1_000_000
+FIT_PARTS = 50
 SEGMENT = 64
 BITS = 18
 ORDERS = (2, 3, 4)
@@ -229,6 +232,16 @@ class Scores(dict):
         return forward_backward(emission, *segments(sizes), self.crf.first, self.crf.move)[0], sizes
 
 
+def spread(found: list[str], most: int) -> list[str]:
+    """At most ``most`` words (a segment at least) of a document, in whole segments at even distances."""
+    if len(found) <= most:
+        return found
+    total, some = -(-len(found) // SEGMENT), max(1, most // SEGMENT)
+    # the last segment may be short, so some of the others lie before it
+    begins = [i * total // some * SEGMENT for i in range(some)]
+    return [w for b in begins for w in found[b : b + SEGMENT]]
+
+
 def train(docs: DataFrame, lang_col: str = "lang") -> Crf | None:
     """A field fitted in one task on the bounded sample; none if there is nothing to learn."""
     seen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col(lang_col).alias("lang"))
@@ -239,21 +252,24 @@ def train(docs: DataFrame, lang_col: str = "lang") -> Crf | None:
     langs = sorted(total)
     part = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000))
     share = F.create_map(*[F.lit(x) for lang, n in total.items() for x in (lang, 1 + int(1_000_000 * min(1.0, FIT / n)))])
-    sample = seen.where(part < share[F.col("lang")]).select(part.alias("part"), "lang", "text")
+    sample = seen.where(part < share[F.col("lang")]).select(F.xxhash64("doc_id", F.lit("order")).alias("place"), "lang", "text")
+    own = max(SEGMENT, FIT_WORDS // len(langs))
+    most = max(SEGMENT, own // FIT_PARTS)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, room = [], FIT_WORDS
+        rows, room = [], dict.fromkeys(langs, own)
         for whole in batches:
             for batch in slices(whole):
                 for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                    found = words(text)
-                    if 0 < len(found) <= room:
+                    # what is left of a share, if less than a segment, takes one more
+                    found = spread(words(text), min(most, max(room[lang], SEGMENT))) if room[lang] > 0 else []
+                    if found:
                         rows.append((found, langs.index(lang)))
-                        room -= len(found)
+                        room[lang] -= len(found)
         data = [Crf.fit(langs, rows).pack()] if rows else []
         yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["data"])
 
-    model = sample.repartition(1).sortWithinPartitions("part", "text").mapInArrow(learn, "data binary").collect()
+    model = sample.repartition(1).sortWithinPartitions("place", "text").mapInArrow(learn, "data binary").collect()
     return Crf.unpack(langs, bytes(model[0].data)) if model else None
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 import sentencepiece
 
-from cveflow.llm import packing, queries
+from cveflow.llm import language_crf, packing, queries
 from odd_tables import make
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -28,3 +28,22 @@ def test_packing_counts_tokens(spark, odd):
 def test_packing_query_counts_tokens(spark, sf_dir):
     want = {r.doc_id: r.n_tokens for r in queries.op1_piece_codec(spark, sf_dir).collect()}
     assert {r.doc_id: r.n_tokens for r in queries.op6_packing(spark, sf_dir).collect()} == want
+
+
+def test_every_language_has_its_own_words(spark, monkeypatch):
+    monkeypatch.setattr(language_crf, "FIT", 20)
+    monkeypatch.setattr(language_crf, "FIT_WORDS", 1500)
+    rows = [(i, "the quick brown fox jumps over the lazy dog " * 12, "en") for i in range(3000)]
+    rows += [(5000 + i, "der schnelle braune fuchs springt über den faulen hund " * 12, "de") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    crf = language_crf.train(docs)
+    found = language_crf.identify(docs, crf).where("doc_id >= 5000").collect()
+    assert len(found) == 9 and {r.lang_pred for r in found} == {"de"}
+
+
+def test_a_long_document_gives_some_segments():
+    text = [str(i) for i in range(10_000)]
+    found = language_crf.spread(text, 700)
+    assert len(found) == 640 and found[0] == "0" and int(found[-1]) > 8_900
+    assert language_crf.spread(text[:700], 700) == text[:700]
+    assert len(language_crf.spread(text, 3)) == language_crf.SEGMENT
