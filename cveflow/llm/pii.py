@@ -3,7 +3,9 @@
 Kinds ``email``, ``ip``, ``card`` and ``phone`` are found by their pattern and validator alone.  The
 weaker patterns - ``iban`` and ``local`` (a phone number without country code) - start below
 ``THRESHOLD`` and need a passed mod-97 check or a telling word in the ``CONTEXT`` characters before
-them.  Spans count code points, ends are exclusive; those of one kind don't overlap.
+them.  Where letters or digits follow an IBAN behind a space, the part of its country's length is taken if that
+passes, else the longest that does.  Spans count
+code points, ends are exclusive; those of one kind don't overlap.
 
 The patterns can't be slow or overflow the stack on long runs: possessive loops, and a run of
 characters is entered at its start or behind the last match only.
@@ -29,9 +31,33 @@ PATTERNS = {
     "ip": (_entered("[0-9]") + r"[0-9]++(?:\.[0-9]++){3}", r"[0-9]\.[0-9]"),
     "card": (r"[0-9](?:[\x20-]?[0-9])++", "[0-9]"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
-    "iban": (r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+\b", "[A-Z]{2}[0-9]{2}"),
+    # the first four characters; the words that an IBAN may span are looked at only, as another may start in them
+    "iban": (r"\b(?=[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2})(?=([A-Z0-9]{4,34}+\b(?:\x20[A-Z0-9]{1,30}+\b){0,8}+))[A-Z]{2}[0-9]{2}",
+             "[A-Z]{2}[0-9]{2}"),
     "local": (r"(?<![0-9+.-])\(?[0-9]{3,4}\)?[\x20-][0-9]{3,4}[\x20-][0-9]{3,4}(?![0-9.-])", "[0-9]{3}"),
 }
+IBAN = r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?$"
+#: Fixed value: countries by the length of their IBANs; those of other countries or lengths are found too.
+COUNTRIES = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
 BASE = ("email", "ip", "card", "phone")
 #: Score of a span whose validator passed, and words before it that raise the score by RAISE.
 SCORES = {"email": 0.9, "ip": 0.7, "card": 0.8, "phone": 0.7, "iban": 0.9, "local": 0.3}
@@ -68,6 +94,20 @@ def mod97(iban: Column) -> Column:
     return F.aggregate(F.filter(moved, lambda c: c != ""), F.lit(0), add) == 1
 
 
+def first_iban(run: Column) -> Column:
+    """The IBAN that some first words of a run are, or null: one of its country's length, else the longest."""
+    parts = F.split(run, " ")
+    starts = F.transform(F.sequence(F.size(parts), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), " "))
+    found = F.filter(starts, lambda iban: iban.rlike(IBAN) & valid("iban", iban))
+    return F.coalesce(F.get(F.filter(found, usual_length), F.lit(0)), F.get(found, F.lit(0)))
+
+
+def usual_length(iban: Column) -> Column:
+    """Whether an IBAN is as long as its country's are."""
+    size, country = F.length(F.replace(iban, F.lit(" "))), F.substring(iban, 1, 2)
+    return F.coalesce(*[F.when(country.isin(names.split()), size == n) for n, names in COUNTRIES.items()], F.lit(False))
+
+
 def valid(kind: str, match: Column) -> Column:
     """The validator of a kind."""
     digits = F.length(_digits(match))
@@ -90,14 +130,31 @@ def _matches(text: Column, kind: str) -> Column:
     """Proposed matches and the stretches between them, or nulls if there is nothing to search."""
     pattern, needs = PATTERNS[kind]
     return F.when(text.rlike(needs), F.struct(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("between")))
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(int(kind == "iban"))).alias("found"), F.split(text, pattern, -1).alias("between")))
+
+
+def _ibans(runs: Column) -> Column:
+    """The IBANs at the start of the runs; of two that overlap the first, or the second if only that is as long as its country's are."""
+    found = F.transform(runs, lambda s: F.struct(first_iban(s["match"]).alias("match"), s["start"].alias("start")))
+    found = F.transform(F.filter(found, lambda s: s["match"].isNotNull()), lambda s: F.struct(
+        s["match"].alias("match"), s["start"].alias("start"), (s["start"] + F.length(s["match"])).alias("end")))
+    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<match:string,start:int,end:int>>)").alias("spans"))
+
+    def add(acc, s):
+        spans = acc["spans"]
+        apart = s["start"] >= acc["at"]
+        better = usual_length(s["match"]) & ~usual_length(F.get(spans, F.size(spans) - 1)["match"])
+        before = F.when(apart, spans).otherwise(F.slice(spans, F.lit(1), F.size(spans) - 1))
+        return F.when(apart | better, F.struct(s["end"].alias("at"), F.array_append(before, s).alias("spans"))).otherwise(acc)
+
+    return F.aggregate(found, start, add)["spans"]
 
 
 def _spans(text: Column, kind: str, matches: Column) -> Column:
     """Confirmed spans of one kind, in order of their start."""
     found, between = matches["found"], matches["between"]
     lengths = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, gap: F.struct(
-        m.alias("match"), F.length(gap).alias("gap"), F.length(m).alias("size")))
+        m.alias("match"), F.length(gap).alias("gap"), (F.lit(4) if kind == "iban" else F.length(m)).alias("size")))
     start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<match:string,start:int,end:int>>)").alias("spans"))
 
     def add(acc, x):
@@ -106,7 +163,8 @@ def _spans(text: Column, kind: str, matches: Column) -> Column:
         return F.struct(end.alias("at"), F.array_append(
             acc["spans"], F.struct(x["match"].alias("match"), at.alias("start"), end.alias("end"))).alias("spans"))
 
-    placed = F.filter(F.aggregate(lengths, start, add)["spans"], lambda s: valid(kind, s["match"]))
+    placed = F.aggregate(lengths, start, add)["spans"]
+    placed = _ibans(placed) if kind == "iban" else F.filter(placed, lambda s: valid(kind, s["match"]))
 
     def scored(s):
         begin = F.greatest(s["start"] - CONTEXT, F.lit(0))

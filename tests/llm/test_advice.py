@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 import sentencepiece
 
-from cveflow.llm import language_crf, packing, queries
+from cveflow.llm import language_crf, packing, pii, queries
 from odd_tables import make
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -47,3 +47,23 @@ def test_a_long_document_gives_some_segments():
     assert len(found) == 640 and found[0] == "0" and int(found[-1]) > 8_900
     assert language_crf.spread(text[:700], 700) == text[:700]
     assert len(language_crf.spread(text, 3)) == language_crf.SEGMENT
+
+
+def _kind(spark, texts, kind):
+    rows = pii.find_pii(make(spark, texts)).orderBy("doc_id").collect()
+    return [[r.text[s.start : s.end] for s in r.pii if s.kind == kind] for r in rows]
+
+
+def test_ibans_before_capitals_and_digits(spark):
+    es, at, de, no = "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00", "NO9386011117947"
+    texts = [f"{es} Please pay", f"{at} EUR", f"pay {at} 2024.", f"{es} {at} {de} A", f"{es.replace(' ', '')} EUR 100", f"{no} {no} X",
+             f"é😀 {de}, {es} OK", f"{es}x", f"{es} please", f"AB12 CD34 EF56 {at} AND MORE", "ES91 2100 0418 4502 0005 1333 Please"]
+    es_, x = es.replace(" ", ""), []
+    assert _kind(spark, texts, "iban") == [[es], [at], [at], [es, at, de], [es_], [no, no], [de, es], x, [es], [at], x]
+
+
+def test_ibans_among_starts_of_others(spark):
+    es = "ES91 2100 0418 4502 0005 1332"
+    # AB12 four times and ES91, or the Spanish one and X, pass the check by chance
+    texts = ["AB12 " * 500 + es, "AB12" * 500 + " " + es, "A" * 100_000 + " " + es + " X"]
+    assert [f[-1:] for f in _kind(spark, texts, "iban")] == [[es]] * 3
