@@ -34,7 +34,7 @@ PATTERNS = {
     # the first four characters; the words that an IBAN may span are looked at only, as another may start in them
     "iban": (r"\b(?=[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2})(?=([A-Z0-9]{4,34}+\b(?:\x20[A-Z0-9]{1,30}+\b){0,8}+))[A-Z]{2}[0-9]{2}",
              "[A-Z]{2}[0-9]{2}"),
-    "local": (r"(?<![0-9+.-])\(?[0-9]{3,4}\)?[\x20-][0-9]{3,4}[\x20-][0-9]{3,4}(?![0-9.-])", "[0-9]{3}"),
+    "local": (r"(?<![0-9+.-])\(?[0-9]{3,4}\)?[\x20-][0-9]{3,4}[\x20-][0-9]{3,4}(?![0-9]|[.-][0-9])", "[0-9]{3}"),
 }
 IBAN = r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?$"
 #: Fixed value: countries by the length of their IBANs; those of other countries or lengths are found too.

@@ -67,3 +67,9 @@ def test_ibans_among_starts_of_others(spark):
     # AB12 four times and ES91, or the Spanish one and X, pass the check by chance
     texts = ["AB12 " * 500 + es, "AB12" * 500 + " " + es, "A" * 100_000 + " " + es + " X"]
     assert [f[-1:] for f in _kind(spark, texts, "iban")] == [[es]] * 3
+
+
+def test_local_phones_at_the_end_of_a_sentence(spark):
+    texts = ["Call 555-123-4567.", "call 555-123-4567-", "tel 555-123-4567. Or", "call (555) 123-4567- now", "call 555-123-4567-8", "call 555-123-4567.8", "call 555-123-45678"]
+    one, two = "555-123-4567", "(555) 123-4567"
+    assert _kind(spark, texts, "local") == [[one], [one], [one], [two], [], [], []]
