@@ -22,8 +22,9 @@ from cveflow.llm import piece_codec
 from cveflow.scratch import stored
 
 BUCKETS = 16
-LONGEST = 8192
 BUDGET = 32768
+#: Two longer documents never fit into one batch; alone and unpadded they pad least.
+LONGEST = BUDGET // 2
 #: Rows that one shard of a bucket holds, about.
 SHARD_ROWS = 50_000
 #: Batches of bucket i are numbered from i * SPAN on.

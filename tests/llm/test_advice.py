@@ -73,3 +73,9 @@ def test_local_phones_at_the_end_of_a_sentence(spark):
     texts = ["Call 555-123-4567.", "call 555-123-4567-", "tel 555-123-4567. Or", "call (555) 123-4567- now", "call 555-123-4567-8", "call 555-123-4567.8", "call 555-123-45678"]
     one, two = "555-123-4567", "(555) 123-4567"
     assert _kind(spark, texts, "local") == [[one], [one], [one], [two], [], [], []]
+
+
+def test_documents_of_a_quarter_to_half_a_budget_share_batches(spark):
+    rows = spark.createDataFrame([(i, 9000) for i in range(60)] + [(60 + i, 40_000) for i in range(2)], "doc_id bigint, n_tokens bigint")
+    found = packing.pack(rows).groupBy("batch_id").count().collect()
+    assert sorted(r["count"] for r in found) == [1] * 2 + [3] * 20
