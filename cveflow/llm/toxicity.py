@@ -4,8 +4,8 @@ A document is the set of its lower-cased character 3- to 5-grams, hashed.  From
 n-gram gets the log ratio of its document counts in the two classes; n-grams whose counts could well
 differ by chance are left out.  Logistic regression is fitted on the ratios of a document's n-grams,
 scaled by their length, with class weights that restore the classes' shares.  The fit uses at most
-about ``FIT`` labelled rows of each class and ``FIT_FEATURES`` features, chosen by a hash of the id;
-scoring reads every whole text.
+about ``FIT`` labelled rows of each class and, for each class, half of ``FIT_FEATURES`` features, chosen by a hash of
+the id: documents of about 3,200 different n-grams fill that with about 2,500 of a class.  Scoring reads every whole text.
 
 Nulls: a null text counts as empty, which scores the prior; rows of labels with a null id or label are ignored.
 Without both classes among the labels every score is the share of label 1 (0 without labels).
@@ -96,7 +96,7 @@ def fit(rows: list[np.ndarray], label: np.ndarray, weight: np.ndarray) -> tuple[
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, label_col: str) -> tuple[DataFrame, dict[int, float]]:
-    """Sampled rows of ``doc_id, label`` whose labels may be seen, and the weight of a row of each class."""
+    """Sampled rows of ``doc_id, label`` whose labels may be seen, and how many of each class may be."""
     seen = labels.select(F.col("doc_id"), F.col(label_col).cast("int").alias("label"))
     seen = seen.where(~held_out() & F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
     total = {r.label: r["count"] for r in seen.groupBy("label").count().collect()}
@@ -105,12 +105,13 @@ def _labelled(docs: DataFrame, labels: DataFrame, label_col: str) -> tuple[DataF
     chosen = F.lit(False)
     for k, p in share.items():
         chosen = chosen | ((F.col("label") == k) & (part < int(1_000_000 * p) + 1))
-    return seen.where(chosen).dropDuplicates(["doc_id"]), {k: 1 / p for k, p in share.items()}
+    return seen.where(chosen).dropDuplicates(["doc_id"]), total
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray, float]:
     """Weights of a classifier for ``label_col`` of ``labels``, fitted in one task on the bounded sample."""
-    sample, weight = _labelled(docs, labels, label_col)
+    sample, total = _labelled(docs, labels, label_col)
+    half = FIT_FEATURES // 2
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << BITS, bool)
@@ -123,19 +124,22 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tuple
                     ["part", "label", "features"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, label, room = [], [], FIT_FEATURES
+        rows, label, room = [], [], {0: half, 1: half}
         for batch in batches:
             at, column = offsets(batch.column("features")), batch.column("features")
             values = np.asarray(column.values)
             for y, a, b in zip(batch.column("label").to_pylist(), at[:-1], at[1:]):
-                if b - a <= room:
+                # a class ends with the first document that doesn't fit, so that short ones aren't preferred
+                if b - a > room[y]:
+                    room[y] = -1
+                else:
                     rows.append(values[a:b].copy())
                     label.append(y)
-                    room -= b - a
+                    room[y] -= b - a
         label = np.array(label)
         if len(set(label)) < 2:
             return
-        weights, squares, bias = fit(rows, label, np.array([weight[y] for y in label]))
+        weights, squares, bias = fit(rows, label, np.array([total[y] / (label == y).sum() for y in (0, 1)])[label])
         model = [weights.tobytes(), squares.tobytes(), np.float64(bias).tobytes()]
         yield pa.RecordBatch.from_arrays([pa.array([0, 1, 2]), pa.array(model, pa.binary())], ["part", "data"])
 

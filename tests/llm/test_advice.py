@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
 import public_tokenizers
 import sentencepiece
 
-from cveflow.llm import language_crf, packing, pii, queries
+from cveflow.llm import language_crf, packing, pii, queries, toxicity
 from odd_tables import make
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -79,3 +81,16 @@ def test_documents_of_a_quarter_to_half_a_budget_share_batches(spark):
     rows = spark.createDataFrame([(i, 9000) for i in range(60)] + [(60 + i, 40_000) for i in range(2)], "doc_id bigint, n_tokens bigint")
     found = packing.pack(rows).groupBy("batch_id").count().collect()
     assert sorted(r["count"] for r in found) == [1] * 2 + [3] * 20
+
+
+def test_each_class_has_half_of_the_features(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_FEATURES", 40_000)
+    rng = random.Random(1)
+    noise = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    rows = [(i, noise(350), 0) for i in range(4000)] + [(5000 + i, "vile curse " + noise(450), 1) for i in range(20)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    # documents of the common class come first by their hash and may not use up the room of the other
+    weights, squares, bias = toxicity.train(docs, labels)
+    vile, plain = toxicity.score_texts(["vile curse", "other words"], weights, squares, bias)
+    assert vile > plain
