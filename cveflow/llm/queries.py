@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cveflow.llm import co_training, collision_search, exact_dedup, language_crf, near_dups, packing, piece_codec, pii, token_counts, toxicity
+from cveflow.llm import co_training, collision_search, exact_dedup, language_crf, near_dups, packing, piece_codec, pii, suffix_buckets, token_counts, toxicity
 from cveflow.llm.frames import held_out, texts
 
 
@@ -75,8 +75,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 400 bytes that occur anywhere else, as digests."""
+    return suffix_buckets.without_repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_piece_codec, op2_quality, op3_pii, op4_collision_search, op5_near_dups, op6_packing, op7_token_counts, op8_toxicity, op9_exact_dedup, op10_language)}
+    op1_piece_codec, op2_quality, op3_pii, op4_collision_search, op5_near_dups, op6_packing, op7_token_counts, op8_toxicity, op9_exact_dedup, op10_language,
+    op11_suffix_dedup)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
