@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cveflow.llm import co_training, collision_search, exact_dedup, language_crf, near_dups, packing, piece_codec, pii, suffix_buckets, token_counts, toxicity
+from cveflow.llm import co_training, collision_search, exact_dedup, interval_search, language_crf, near_dups, packing, piece_codec, pii, suffix_buckets, token_counts, toxicity
 from cveflow.llm.frames import held_out, texts
 
 
@@ -80,9 +80,14 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_buckets.without_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of every benchmark item."""
+    return interval_search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_piece_codec, op2_quality, op3_pii, op4_collision_search, op5_near_dups, op6_packing, op7_token_counts, op8_toxicity, op9_exact_dedup, op10_language,
-    op11_suffix_dedup)}
+    op11_suffix_dedup, op12_ranked_search)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
@@ -90,4 +95,22 @@ ORACLE = {
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY norm)""",
+    "op12_ranked_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        i AS (
+            SELECT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        q AS (SELECT item_id, text, term, count(*) AS times FROM i GROUP BY ALL),
+        p AS (SELECT r, doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+        s AS (SELECT r, sum(tf)::BIGINT AS n FROM p GROUP BY r),
+        g AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM s),
+        w AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, g GROUP BY term, nn),
+        x AS (
+            SELECT item_id, text, r, doc_id,
+                   sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + ((75 * n * nn) // ll)))))::BIGINT AS score
+            FROM q JOIN w USING (term) JOIN p USING (term) JOIN s USING (r), g GROUP BY item_id, text, r, doc_id),
+        y AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM y WHERE rank <= 10""",
 }
