@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cveflow.llm import co_training, collision_search, exact_dedup, interval_search, language_crf, near_dups, packing, piece_codec, pii, suffix_buckets, token_counts, toxicity
+from cveflow.llm import (
+    co_training, collision_search, exact_dedup, interval_search, language_crf, near_dups, packing, phrase_automata, piece_codec, pii,
+    suffix_buckets, token_counts, toxicity)
 from cveflow.llm.frames import held_out, texts
 
 
@@ -85,9 +87,14 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interval_search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 phrases of each language whose words belong together most."""
+    return phrase_automata.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_piece_codec, op2_quality, op3_pii, op4_collision_search, op5_near_dups, op6_packing, op7_token_counts, op8_toxicity, op9_exact_dedup, op10_language,
-    op11_suffix_dedup, op12_ranked_search)}
+    op11_suffix_dedup, op12_ranked_search, op13_collocations)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
@@ -113,4 +120,27 @@ ORACLE = {
             FROM q JOIN w USING (term) JOIN p USING (term) JOIN s USING (r), g GROUP BY item_id, text, r, doc_id),
         y AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0)
         SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM y WHERE rank <= 10""",
+    "op13_collocations": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+        s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+        t AS (SELECT lang, ws[i:i + 4] AS path FROM s),
+        u AS (SELECT lang, path, unnest(range(1, len(path) + 1)) AS k FROM t),
+        f AS (SELECT lang, path[1:k] AS ph, k::BIGINT AS k, count(*)::BIGINT AS f FROM u GROUP BY ALL HAVING count(*) >= 100),
+        n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+        x AS (SELECT lang, ph[1:k - 1] AS ph, f FROM f WHERE k > 2 UNION ALL SELECT lang, ph[2:k] AS ph, f FROM f WHERE k > 2),
+        o AS (SELECT * FROM f WHERE k > 1 AND NOT EXISTS (SELECT 1 FROM x WHERE x.lang = f.lang AND x.ph = f.ph AND x.f >= f.f)),
+        c AS (SELECT lang, ph, k, f, unnest(range(1, k)) AS cut FROM o),
+        e AS (
+            SELECT c.lang, c.ph, c.cut, c.f AS a, l.f AS l, r.f AS r, n.n,
+                   ((1000::HUGEINT * c.f * n.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+            FROM c JOIN f l ON l.lang = c.lang AND l.ph = c.ph[1:cut] JOIN f r ON r.lang = c.lang AND r.ph = c.ph[cut + 1:c.k]
+            JOIN n ON n.lang = c.lang),
+        b AS (SELECT *, row_number() OVER (PARTITION BY lang, ph ORDER BY score, cut) AS best FROM e),
+        z AS (
+            SELECT *, array_to_string(ph, ' ') AS phrase,
+                   row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ph, ' ')) AS rank FROM b WHERE best = 1)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM z WHERE rank <= 2000""",
 }
