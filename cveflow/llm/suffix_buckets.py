@@ -12,8 +12,8 @@ The method is:
    of a later offset; every round uses the buckets that the last one refined, so their depth doubles until it is ``SPAN``.
    Positions alone in their bucket drop out.
 3. A bucket of more than ``CROWD`` distinct regions is too large for one task.  Its members are dealt anew, by
-   buckets of the bytes at later and earlier offsets: first those that half of its strings share, then a quarter, until the
-   rest is small or one string is left.  Equal parts are merged on the way with their number, so no copies are compared.
+   buckets of the bytes at later and earlier offsets: first those that a quarter of its strings share, then a sixteenth, until
+   the rest is small or one string is left.  Equal parts are merged on the way with their number, so no copies are compared.
 
 Regions are told apart by 128 bits of hash before their bytes are compared; distinct texts by 128 bits of SHA-256.
 
@@ -40,7 +40,11 @@ from cveflow.scratch import stored
 SPAN = 400
 GRAM = 100
 #: Distinct regions of a bucket that one task refines.
-CROWD = 1024
+CROWD = 4096
+#: Parts a larger bucket is dealt into at a time.
+PARTS = 4
+#: Regions of a task, about.
+REGIONS = 4096
 #: Bytes of text worked on at once.
 PIECE = 1 << 21
 
@@ -178,21 +182,22 @@ def _items(bucket, region, weight, near, far, place, body, edges, more: tuple =
     return pa.RecordBatch.from_arrays(columns, names=["from_bucket", "from_region", "from_string"][: len(more)] + names)
 
 
-def _halves(span: int):
-    """Each item as two: the strings that start at most halfway before the anchor, and the others.
+def _dealt(span: int):
+    """Each item as ``PARTS`` items, by how far before the anchor its strings start.
 
-    The new bucket is that of the bytes all strings of the half share, so longer than the old one's.
+    The new bucket is that of the bytes all strings of the part share, so longer than the old one's.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bucket, region, weight, near, far, place = (batch.column(k).to_numpy().astype(np.int64) for k in range(6))
             data, at = utf8(batch.column(6))
-            middle = (near + far) // 2
             hashes = _Hash(data, 0), _Hash(data, 1)
             last = place - (np.diff(at) - span)  # the string nearest to the anchor
-            for low, high in ((near, middle), (middle + 1, far)):
-                # strings of this half that the item has
+            for part in range(PARTS):
+                low = near + (far - near + 1) * part // PARTS
+                high = near + (far - near + 1) * (part + 1) // PARTS - 1
+                # strings of this part that the item has
                 short, long = np.maximum(low, last), np.minimum(high, place)
                 some = np.flatnonzero((short <= long) & (low <= high))
                 if not len(some):
@@ -303,21 +308,22 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
 def _strings(items: DataFrame, span: int, crowd: int) -> DataFrame:
     """``bucket, region, low, high``: the strings of each item that occur again.  ``items`` is stored, one row per bucket and region."""
     sizes = stored(items.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("weight").alias("all")).withColumn("members", F.col("n")), "sizes")
-    sized = attach(items, sizes.where("all > 1").select("bucket", "n", "members"), ["bucket"], items.count())
+    total = items.count()
+    sized = attach(items, sizes.where("all > 1").select("bucket", "n", "members"), ["bucket"], total)
     small = sized.where(F.col("members") <= crowd).select("bucket", "region", "weight", "body")
-    found = stored(small.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_refined(span), STRINGS), "strings")
+    found = stored(small.repartition(total // REGIONS + 1, "bucket").sortWithinPartitions("bucket").mapInArrow(_refined(span), STRINGS), "strings")
     if sizes.where(F.col("members") > crowd).isEmpty():
         return found
     origin = ["from_bucket", "from_region", "from_string"]
     crowded = sized.where(F.col("members") > crowd).select(*items.columns)
-    halves = stored(crowded.mapInArrow(_halves(span), "from_bucket bigint, from_region bigint, from_string bigint, " + ITEMS), "halves")
-    merged = halves.groupBy("bucket", "region").agg(
+    dealt = stored(crowded.mapInArrow(_dealt(span), "from_bucket bigint, from_region bigint, from_string bigint, " + ITEMS), "dealt")
+    merged = dealt.groupBy("bucket", "region").agg(
         F.count("*").alias("n"), F.sum("weight").alias("weight"), *(F.first(c).alias(c) for c in ("near", "far", "place", "body")))
     merged = stored(merged, "merged")
     parts = _strings(merged.drop("n"), span, crowd)
     lists = parts.groupBy("bucket", "region").agg(F.collect_list(F.struct("low", "high")).alias("strings"))
     lists = merged.select("bucket", "region", "n").join(lists, ["bucket", "region"])
-    back = attach(halves.select("bucket", "region", *origin), stored(lists, "lists"), ["bucket", "region"], halves.count())
+    back = attach(dealt.select("bucket", "region", *origin), stored(lists, "lists"), ["bucket", "region"], dealt.count())
     back = back.select(*origin, F.explode("strings").alias("s")).select(
         F.col("from_bucket").alias("bucket"), F.col("from_region").alias("region"),
         (F.col("s.low") + F.col("from_string")).alias("low"), (F.col("s.high") + F.col("from_string")).alias("high"))
