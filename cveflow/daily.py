@@ -79,6 +79,7 @@ def run_tables(
 ) -> list[str]:
     """One run into the catalog tables of ``database``, which are created if absent and merged into otherwise.
 
+    Every table is switched to its new version at once; a run that was killed is simply run again.
     ``raw`` needs only the rows that came since the last run.  Returns the names of all tables.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -90,10 +91,7 @@ def run_tables(
 
     def swap(name: str, df: DataFrame) -> DataFrame:
         target = table(name)
-        following = f"{target}__next"
-        spark.sql(f"DROP TABLE IF EXISTS {following}")
-        sinks.overwrite(df, following, rebalance=True)
-        sinks.take_over(spark, following, target)
+        sinks.publish(df, target)
         return spark.table(target).select(*df.columns)
 
     def cleaned(feed: str) -> DataFrame:

@@ -377,6 +377,8 @@ SELECT cve_id, {_time('last_modified_ts')}, {_ymd('_ingested_at')} FROM nvd""")
 Q["q_clustered_write"] = _with("master", f"SELECT cve_id, {_time('published_ts')}, {_r8('epss_score')} FROM master")
 Q["q_upsert"] = _with("risk_runs", f"""
 SELECT {RISK_COLUMNS}, {_ymd('run')} FROM risk_runs""")
+Q["q_merge_changes"] = Q["q_upsert"]
+Q["q_compact"] = Q["q_append_roundtrip"]
 Q["q_partition_scan"] = _with("risk_runs", f"""
 SELECT {RISK_COLUMNS}, {_ymd('run')} FROM risk_runs
 WHERE run = DATE '{AS_OF}'""")
@@ -418,6 +420,7 @@ SELECT fullname, name, title, module_type, {_list('platforms')}, rank_label, ran
 # Newest row per key
 Q["q_latest_nvd"] = _latest("nvd_rows", "cve_id", f"last_modified_ts DESC NULLS LAST, {NEWEST}",
                             f"cve_id, {_time('last_modified_ts')}, {_time('_ingested_at')}, _batch_id")
+Q["q_stream_upsert"] = Q["q_latest_nvd"]
 Q["q_latest_kev"] = _latest("kev_rows", "cve_id", NEWEST, f"cve_id, {_time('_ingested_at')}, _batch_id")
 Q["q_latest_epss_day"] = _latest("epss_rows", "cve_id, score_date", NEWEST,
                                  f"cve_id, {_txt('score_date')}, {_time('_ingested_at')}, _batch_id")

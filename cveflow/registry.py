@@ -114,12 +114,16 @@ class Tables:
     def trends(self) -> DataFrame:
         return self._stored("trends", lambda: trends.combined(self.master(), as_of=AS_OF))
 
-    def two_runs(self, table: DataFrame) -> DataFrame:
-        """The mart after two runs: the second replaces what changed and adds what is new."""
+    def runs(self, table: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The rows of two runs: the second has those that changed and those that are new."""
         published = F.to_date("published_ts")
         early = F.coalesce(published < F.lit(SPLIT_NEW).cast("date"), F.lit(True))
         before = v.run_date(table.where(early), FIRST_RUN)
-        changed = v.run_date(table.where(published >= F.lit(SPLIT_CHANGED).cast("date")), AS_OF)
+        return before, v.run_date(table.where(published >= F.lit(SPLIT_CHANGED).cast("date")), AS_OF)
+
+    def two_runs(self, table: DataFrame) -> DataFrame:
+        """The mart after two runs: the second replaces what changed and adds what is new."""
+        before, changed = self.runs(table)
         return sinks.upsert(before, changed, ["cve_id"])
 
     def partitioned(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -295,6 +299,20 @@ def q_incremental(t: Tables) -> DataFrame:
     return ingest.read_table(t.spark, table, raw.schema).select("id", "lastModified", "_batch_id")
 
 
+@query("q_stream_upsert")
+def q_stream_upsert(t: Tables) -> DataFrame:
+    """Two deliveries into a keyed table; the second run has lost its checkpoint and gets all files again."""
+    inbox, table = (scratch.fresh_path(t.spark, n) for n in ("inbox", "keyed"))
+    rows = clean.nvd_rows(t.raw("nvd")).select("cve_id", "last_modified_ts", "_ingested_at", "_batch_id")
+    write = ingest.to_keyed(table, ["cve_id"], ["last_modified_ts", "_ingested_at"], buckets=8, tiebreak=TIES)
+    for delivery in ("_batch_id = '0'", "_batch_id <> '0'"):
+        rows.where(delivery).write.mode("append").parquet(inbox)
+        ingest.ingest_incremental(
+            t.spark, inbox, rows.schema, write, checkpoint=scratch.fresh_path(t.spark, "state"), fmt="parquet", file="_file"
+        ).awaitTermination()
+    return ingest.read_keyed(t.spark, table)
+
+
 # --- Sinks ---------------------------------------------------------------------------------------
 
 @query("q_append_roundtrip")
@@ -327,6 +345,25 @@ def q_upsert(t: Tables) -> DataFrame:
     return t.two_runs(t.risk()).select(*risk.COLUMNS, *schema.RUN_DATE)
 
 
+@query("q_merge_changes")
+def q_merge_changes(t: Tables) -> DataFrame:
+    """Two runs into a versioned table; the second gives all advisories of its run, and an earlier row of it stays where nothing changed."""
+    path = scratch.fresh_path(t.spark, "merged")
+    for rows in t.runs(t.risk()):
+        sinks.merge_table(rows, path, ["cve_id"], cluster_by="composite_risk_score")
+    return sinks.read(t.spark, path).select(*risk.COLUMNS, *schema.RUN_DATE)
+
+
+@query("q_compact")
+def q_compact(t: Tables) -> DataFrame:
+    """Many small appends, packed into few files."""
+    path, rows = scratch.fresh_path(t.spark, "small"), clean.kev_rows(t.raw("kev"))
+    for part in range(4):
+        sinks.append(rows.where(F.pmod(F.xxhash64("cve_id"), F.lit(4)) == part), path)
+    sinks.compact(t.spark, path, partition_by=schema.RUN_DATE)
+    return sinks.read(t.spark, path).select("cve_id", "date_added", "due_date", *schema.RUN_DATE)
+
+
 @query("q_partition_scan")
 def q_partition_scan(t: Tables) -> DataFrame:
     return views.on_partition(t.risk_runs(), AS_OF).select(*risk.COLUMNS, *schema.RUN_DATE)
