@@ -37,7 +37,7 @@ from cveflow.scratch import stored
 LONGEST = 5
 #: Paths of a stored shard, and of a prefix range.
 SHARD = 1 << 20
-RANGE = 1 << 21
+RANGE = 1 << 20
 #: Prefix ranges at most, and sampled paths for each of them.
 RANGES = 1 << 20
 SAMPLED = 8
@@ -254,9 +254,10 @@ def _counted(at_least: int, limit: int):
         whole: list[Automaton] = []
         for blob in table.column("shard"):
             whole.append(Automaton.unpack(blob.as_py()))
-            if len(whole) > 1 and sum(len(a.paths) for a in whole[1:]) > limit + len(whole[0].paths):
+            if len(whole) > 1 and sum(len(a.paths) for a in whole[1:]) > limit // 4 + len(whole[0].paths):
                 whole = [united(whole)]
         one = united(whole)
+        del whole
         lang = table.column("lang")[0].as_py()
         out = [(lang, 0, "", int(one.weights.sum()))]
         sums = np.concatenate(([0], np.cumsum(one.weights)))
