@@ -10,7 +10,10 @@ code points, ends are exclusive; those of one kind don't overlap.
 The patterns can't be slow or overflow the stack on long runs: possessive loops, and a run of
 characters is entered at its start or behind the last match only.
 
-Nulls: a null text has no spans and stays null when redacted.  An empty table gives an empty result.
+The time of a text grows with its length, however many matches it has: offsets and the words before a match are carried along, and
+matches are gathered in chunks.
+
+Nulls: a null text has no spans and stays null when redacted.  Repeated rows are searched each.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,6 +22,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 CONTEXT = 40
 THRESHOLD = 0.5
+#: Matches of a text that are placed together, and characters of a block that a text is cut from.
+CHUNK = 256
+BLOCK = 256
 
 
 def _entered(run: str) -> str:
@@ -29,7 +35,8 @@ def _entered(run: str) -> str:
 PATTERNS = {
     "email": (_entered("[A-Za-z0-9._%+-]") + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@"),
     "ip": (_entered("[0-9]") + r"[0-9]++(?:\.[0-9]++){3}", r"[0-9]\.[0-9]"),
-    "card": (r"[0-9](?:[\x20-]?[0-9])++", "[0-9]"),
+    # whole runs of at least 13 digits; shorter ones can't pass
+    "card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,}+", "[0-9]"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
     # the first four characters; the words that an IBAN may span are looked at only, as another may start in them
     "iban": (r"\b(?=[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2})(?=([A-Z0-9]{4,34}+\b(?:\x20[A-Z0-9]{1,30}+\b){0,8}+))[A-Z]{2}[0-9]{2}",
@@ -133,43 +140,71 @@ def _matches(text: Column, kind: str) -> Column:
         F.regexp_extract_all(text, F.lit(pattern), F.lit(int(kind == "iban"))).alias("found"), F.split(text, pattern, -1).alias("between")))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _scan(items: Column, state: Column, out: str, step) -> Column:
+    """What ``step(state, item)``, a new state and an array to put out, gives for one item after the other.
+
+    Arrays grow by appending, which copies them; so the items of a chunk fill an array of their own.
+    """
+    empty = F.expr(f"cast(array() as array<{out}>)")
+
+    def inner(acc, x):
+        return _let(F.struct(*[c.alias(n) for c, n in zip(step(acc["state"], x), ("state", "out"))]), lambda r: F.struct(
+            r["state"].alias("state"), F.concat(acc["out"], r["out"]).alias("out")))
+
+    def outer(acc, chunk):
+        done = F.aggregate(chunk, F.struct(acc["state"].alias("state"), empty.alias("out")), inner)
+        return _let(done, lambda r: F.struct(r["state"].alias("state"), F.array_append(acc["out"], r["out"]).alias("out")))
+
+    start = F.struct(state.alias("state"), F.expr(f"cast(array() as array<array<{out}>>)").alias("out"))
+    chunks = _let(items, lambda x: F.when(F.size(x) > 0, F.transform(
+        F.sequence(F.lit(1), F.size(x), F.lit(CHUNK)), lambda k: F.slice(x, k, CHUNK))))
+    return F.coalesce(F.flatten(F.aggregate(chunks, start, outer)["out"]), empty)
+
+
 def _ibans(runs: Column) -> Column:
     """The IBANs at the start of the runs; of two that overlap the first, or the second if only that is as long as its country's are."""
-    found = F.transform(runs, lambda s: F.struct(first_iban(s["match"]).alias("match"), s["start"].alias("start")))
+    found = F.transform(runs, lambda s: F.struct(first_iban(s["match"]).alias("match"), s["start"].alias("start"), s["before"].alias("before")))
     found = F.transform(F.filter(found, lambda s: s["match"].isNotNull()), lambda s: F.struct(
-        s["match"].alias("match"), s["start"].alias("start"), (s["start"] + F.length(s["match"])).alias("end")))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<match:string,start:int,end:int>>)").alias("spans"))
+        s["match"].alias("match"), s["start"].alias("start"), (s["start"] + F.length(s["match"])).alias("end"), s["before"].alias("before")))
+
+    def step(state, s):
+        apart = s["start"] >= state["at"]
+        taken = apart | (usual_length(s["match"]) & ~state["usual"])
+        kept = F.struct(s["match"].alias("match"), s["start"].alias("start"), s["end"].alias("end"), s["before"].alias("before"), (~apart).alias("instead"))
+        return (F.when(taken, F.struct(s["end"].alias("at"), usual_length(s["match"]).alias("usual"))).otherwise(state),
+                F.when(taken, F.array(kept)).otherwise(F.expr(f"cast(array() as array<{PLACED[:-1]},instead:boolean>>)")))
 
-    def add(acc, s):
-        spans = acc["spans"]
-        apart = s["start"] >= acc["at"]
-        better = usual_length(s["match"]) & ~usual_length(F.get(spans, F.size(spans) - 1)["match"])
-        before = F.when(apart, spans).otherwise(F.slice(spans, F.lit(1), F.size(spans) - 1))
-        return F.when(apart | better, F.struct(s["end"].alias("at"), F.array_append(before, s).alias("spans"))).otherwise(acc)
+    taken = _scan(found, F.struct(F.lit(0).alias("at"), F.lit(False).alias("usual")), f"{PLACED[:-1]},instead:boolean>", step)
+    return _let(taken, lambda all_: F.filter(all_, lambda s, i: ~F.coalesce(F.get(all_, i + 1)["instead"], F.lit(False))))
 
-    return F.aggregate(found, start, add)["spans"]
+
+PLACED = "struct<match:string,start:int,end:int,before:string>"
 
 
 def _spans(text: Column, kind: str, matches: Column) -> Column:
     """Confirmed spans of one kind, in order of their start."""
     found, between = matches["found"], matches["between"]
-    lengths = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, gap: F.struct(
-        m.alias("match"), F.length(gap).alias("gap"), (F.lit(4) if kind == "iban" else F.length(m)).alias("size")))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<match:string,start:int,end:int>>)").alias("spans"))
-
-    def add(acc, x):
-        at = acc["at"] + x["gap"]
-        end = at + x["size"]
-        return F.struct(end.alias("at"), F.array_append(
-            acc["spans"], F.struct(x["match"].alias("match"), at.alias("start"), end.alias("end"))).alias("spans"))
-
-    placed = F.aggregate(lengths, start, add)["spans"]
+    lengths = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, gap: F.struct(m.alias("match"), gap.alias("gap")))
+
+    def step(state, x):
+        # the pattern of an IBAN takes its first four characters; the match is what it looked ahead at
+        own = F.left(x["match"], F.lit(4)) if kind == "iban" else x["match"]
+        before = F.right(F.concat(state["before"], x["gap"]), F.lit(CONTEXT))
+        at = state["at"] + F.length(x["gap"])
+        end = at + F.length(own)
+        placed = F.struct(x["match"].alias("match"), at.alias("start"), end.alias("end"), before.alias("before"))
+        return (F.struct(end.alias("at"), F.right(F.concat(before, own), F.lit(CONTEXT)).alias("before")), F.array(placed))
+
+    placed = _scan(lengths, F.struct(F.lit(0).alias("at"), F.lit("").alias("before")), PLACED, step)
     placed = _ibans(placed) if kind == "iban" else F.filter(placed, lambda s: valid(kind, s["match"]))
 
     def scored(s):
-        begin = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        near = F.substring(text, begin + 1, s["start"] - begin).rlike(WORDS[kind])
-        score = F.least(F.lit(1.0), F.lit(SCORES[kind]) + F.when(near, RAISE).otherwise(0.0))
+        score = F.least(F.lit(1.0), F.lit(SCORES[kind]) + F.when(s["before"].rlike(WORDS[kind]), RAISE).otherwise(0.0))
         return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), score.alias("score"))
 
     kept = F.filter(F.transform(placed, scored), lambda s: s["score"] >= THRESHOLD)
@@ -188,17 +223,23 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def redacted(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced by its kind in brackets; overlapping spans give one replacement."""
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts"))
 
-    def add(acc, s):
-        new = s["start"] >= acc["at"]
-        part = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(new, F.array_append(acc["parts"], part)).otherwise(acc["parts"]).alias("parts"))
+    def cut(blocks):
+        def piece(start, end):
+            # only the blocks that hold the piece are looked at
+            first = (start / BLOCK).cast("int")
+            held = F.array_join(F.slice(blocks, first + 1, ((end - 1) / BLOCK).cast("int") - first + 1), "")
+            return F.when(end > start, F.substring(held, start - first * BLOCK + 1, end - start)).otherwise("")
+
+        def step(at, s):
+            part = F.concat(piece(at, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return F.greatest(at, s["end"]), F.when(s["start"] >= at, F.array(part)).otherwise(F.expr("cast(array() as array<string>)"))
+
+        last = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(_scan(ordered, F.lit(0), "string", step), ""), piece(last, F.length(text)))
 
-    cut = F.aggregate(ordered, start, add, lambda acc: F.concat(
-        F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, cut).otherwise(text)
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, _let(blocks, cut)).otherwise(text)
 
 
 def of_kind(spans: Column, *kinds: str) -> Column:

@@ -7,6 +7,7 @@ import itertools
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from compare import difference
@@ -176,3 +177,28 @@ def test_packing_odd_and_empty(odd, none):
     assert len(found) == odd.count() and all(r.n_tokens <= r.bucket_tokens for r in found)
     assert packing.pack_documents(none).count() == 0
     assert exact_dedup.exact_groups(none).count() == 0
+
+
+def test_runs_of_digits_are_those_of_the_plain_pattern():
+    rng = random.Random(31)
+    for _ in range(3000):
+        text = "".join(rng.choice("0123456789  --.x") for _ in range(rng.randrange(80)))
+        plain = [m.span() for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if len(re.sub("[^0-9]", "", m[0])) >= 13]
+        assert [m.span() for m in re.finditer(pii.PATTERNS["card"][0], text)] == plain
+
+
+@pytest.mark.parametrize("unit, kind, size", [
+    ("12,", None, 0), ("a7@b.cd ", "email", 7), ("+1 234 555678;", "phone", 13), ("DE89370400440532013000;", "iban", 22), ("4111111111111111;", "card", 16)])
+def test_texts_with_very_many_matches(spark, unit, kind, size):
+    """A mebibyte of matches: all are found and replaced; a quadratic way would take hours."""
+    times = (1 << 20) // len(unit)
+    text = "é mail " + unit * times
+    found = pii.find_pii(spark.createDataFrame([(1, text)], "doc_id bigint, text string"))
+    spans, cut = found.select(
+        F.transform("pii", lambda s: F.struct(s["kind"], s["start"], s["end"])).alias("pii"), pii.redacted(F.col("text"), F.col("pii")).alias("cut")).first()
+    if kind is None:
+        assert spans == [] and cut == text
+    else:
+        mine = [tuple(s) for s in spans if s[0] == kind]
+        assert mine == [(kind, 7 + k * len(unit), 7 + k * len(unit) + size) for k in range(times)]
+        assert cut.replace(f"[{kind.upper()}]", "") == "é mail " + unit[size:] * times or kind == "card"
