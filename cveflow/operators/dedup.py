@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from cveflow.scratch import stored
+
 
 def latest_by(
     df: DataFrame,
@@ -50,3 +52,27 @@ def dense_rank_by_value(df: DataFrame, col: str, out: str, *, most: int, desc: b
     """
     ranks = dense_ranks(df, col, out, most=most, desc=desc).withColumnRenamed(col, "_value")
     return df.join(F.broadcast(ranks), F.col(col).eqNullSafe(F.col("_value")), "left").drop("_value")
+
+
+def dense_rank_of_any(df: DataFrame, col: str, out: str, *, desc: bool = True) -> DataFrame:
+    """``dense_rank() over (order by col)`` for any number of distinct values.
+
+    The distinct values are sorted in ranges, each numbered on its own; the sizes of the ranges before are added.  Values that hold more
+    than a thousandth of the rows, fewer than a thousand, are broadcast; rows of the others meet their rank in a shuffle.
+    """
+    order = F.col("_value").desc_nulls_last() if desc else F.col("_value").asc_nulls_first()
+    values = df.groupBy(F.col(col).alias("_value")).agg(F.count("*").alias("_rows"))
+    ranged = stored(values.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranges")
+    # one row a range
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"), F.sum("_rows").alias("_all"))
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"), F.sum("_all").over(Window.partitionBy()).alias("_all"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(order))
+    ranks = ranged.join(F.broadcast(offsets), "_range").select(
+        "_value", (F.col("_offset") + place).cast("int").alias(out), (F.col("_rows") * 1000 > F.col("_all")).alias("_hot"))
+    ranks = stored(ranks, "ranks")
+    same = F.col(col).eqNullSafe(F.col("_value"))
+    hot = df.join(F.broadcast(ranks.where("_hot")), same, "left")
+    found = hot.where("_hot").drop("_value", "_hot")
+    rest = hot.where("_hot is null").drop("_value", "_hot", out)
+    return found.unionByName(rest.join(ranks.where("not _hot"), same).drop("_value", "_hot"))

@@ -343,6 +343,9 @@ Q["q_read_epss"] = _with("raw_epss", """
 SELECT cve, epss, percentile, date FROM raw_epss""")
 Q["q_read_exploits"] = _with("raw_exploits", """
 SELECT id, file, description, date_published, author, platform, type, port, codes FROM raw_exploits""")
+Q["q_read_quoted"] = _with("raw_exploits", """
+SELECT id, file, 'say "' || description || '",' || chr(10) || chr(10) || 'then ' || id AS description, date_published, author,
+  platform, type, port, codes FROM raw_exploits""")
 Q["q_read_modules"] = _with("raw_modules", """
 SELECT fullname, name, title, rank, disclosure_date, type, platform, mod_time, author, refs AS "references",
   '[]' AS aliases, '[]' AS arch, '[]' AS autofilter_ports, '[]' AS autofilter_services, '[]' AS targets, '{}' AS notes,
@@ -453,6 +456,8 @@ SELECT cve_id, cast(DATE '{AS_OF}' - cast(published_ts AS DATE) AS INTEGER) AS d
 # Risk
 Q["q_risk"] = _with("risk", f"SELECT {RISK_COLUMNS} FROM risk")
 Q["q_priority_rank"] = _with("risk", f"SELECT cve_id, {_r8('composite_risk_score')}, priority_rank FROM risk")
+Q["q_rank_of_any"] = _with("nvd_rows", f"""
+SELECT cve_id, {_time('last_modified_ts')}, _batch_id, dense_rank() OVER (ORDER BY last_modified_ts DESC NULLS LAST)::INTEGER AS recency_rank FROM nvd_rows""")
 Q["q_tier_distribution"] = _with("risk", 'SELECT risk_tier, count(*) AS "count" FROM risk GROUP BY risk_tier')
 Q["q_top10"] = _with("risk", f"""
 SELECT priority_rank, cve_id, round(composite_risk_score, 3) AS risk_score, risk_tier, {_r8('cvss_v31_base_score')},
@@ -478,6 +483,7 @@ Q["q_cwe_trend"] = _with("master", """
 SELECT cast(year(published_ts) AS INTEGER) AS pub_year, primary_cwe, count(cve_id) AS cve_count,
   """ + _mean("cvss_v31_base_score", 8) + """ AS avg_cvss FROM master WHERE primary_cwe IS NOT NULL GROUP BY 1, 2""")
 Q["q_trends"] = _with("trends", "SELECT * FROM trends")
+Q["q_trends_kept_up"] = Q["q_trends"]
 
 # Readiness
 Q["q_readiness"] = _with("readiness", f"SELECT {READINESS_COLUMNS} FROM readiness")

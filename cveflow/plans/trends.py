@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cveflow.functions import values as v
 
+#: The columns all grains share.
 COMMON = ("new_cves", "avg_cvss", "avg_epss", "cisa_kev_count", "exploitable_count")
 
 

@@ -17,7 +17,7 @@ from cveflow.operators import dedup
 from cveflow.oracle.sql import (
     FIRST_RUN, KPI_DAYS, SPLIT_CHANGED, SPLIT_NEW,
 )
-from cveflow.plans import clean, kpis, master, readiness, risk, trends, views
+from cveflow.plans import clean, kpis, master, readiness, risk, trend_state, trends, views
 from cveflow.sources import feeds, planning, testfeeds
 from cveflow.streaming import ingest
 
@@ -246,6 +246,16 @@ def q_read_exploits(t: Tables) -> DataFrame:
     return feeds.read_exploits(t.spark, path)
 
 
+@query("q_read_quoted")
+def q_read_quoted(t: Tables) -> DataFrame:
+    """The exploit index with a newline, quotes and a comma inside every description, read back in splits."""
+    path = scratch.fresh_path(t.spark, "quoted")
+    told = F.concat(F.lit('say "'), "description", F.lit('",\n\nthen '), "id")
+    t.raw("exploits").select(*[told.alias(c) if c == "description" else c for c in schema.EXPLOIT_FIELDS]).write.csv(
+        path, header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return feeds.read_exploits(t.spark, path, multiline=True)
+
+
 @query("q_read_modules")
 def q_read_modules(t: Tables) -> DataFrame:
     texts = ["name", "title", "rank", "disclosure_date", "type", "mod_time"]
@@ -540,6 +550,13 @@ def q_priority_rank(t: Tables) -> DataFrame:
     return dedup.dense_rank_by_value(scored, risk.SCORE, "priority_rank", most=risk.most_scores())
 
 
+@query("q_rank_of_any")
+def q_rank_of_any(t: Tables) -> DataFrame:
+    """Rank of every revision by its time, of which there are as many as rows."""
+    rows = clean.nvd_rows(t.raw("nvd")).select("cve_id", "last_modified_ts", "_batch_id")
+    return dedup.dense_rank_of_any(rows, "last_modified_ts", "recency_rank")
+
+
 @query("q_tier_distribution")
 def q_tier_distribution(t: Tables) -> DataFrame:
     return risk.tier_distribution(t.risk())
@@ -582,6 +599,19 @@ def q_trends(t: Tables) -> DataFrame:
     return trends.combined(t.master(), as_of=AS_OF).select("trend_type", "period", *trends.COMMON)
 
 
+@query("q_trends_kept_up")
+def q_trends_kept_up(t: Tables) -> DataFrame:
+    """Trends of a first run, brought up to date by the advisories that the second run moved to other days, rescored or added."""
+    now = t.master()
+    third, new = (F.pmod(F.xxhash64("cve_id"), F.lit(n)) == 0 for n in (3, 5))
+    before = now.where(~new).withColumns({
+        "published_ts": F.when(third, F.col("published_ts") - F.expr("INTERVAL 9 DAYS")).otherwise(F.col("published_ts")),
+        "cvss_v31_base_score": F.when(~third, F.col("cvss_v31_base_score")), "in_cisa_kev": third})
+    changes = now
+    days = trend_state.advance(trend_state.state(before), trend_state.replaced(before, changes), changes)
+    return trend_state.combined(days).select("trend_type", "period", *trends.COMMON)
+
+
 # --- Readiness -----------------------------------------------------------------------------------
 
 @query("q_readiness")

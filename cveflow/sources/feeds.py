@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from cveflow import schema as s
 from cveflow.functions import values as v
+from cveflow.sources import quoted_csv
 from cveflow.sources.planning import high_water_mark, plan_offsets, plan_windows
 from cveflow.streaming.ingest import ingest_incremental
 
@@ -103,11 +104,12 @@ def read_exploits(
 ) -> DataFrame:
     """Exploit index CSV with header; columns are taken by name.
 
-    Large files are split.  ``multiline=True`` keeps quoted newlines, and reads a file in one task.
+    Large files are split over tasks, with ``multiline=True`` also where quoted fields hold newlines.
     """
-    table = spark.read.csv(
-        path, header=True, multiLine=multiline, escape='"', enforceSchema=False, inferSchema=False
-    )
+    if multiline:
+        table = quoted_csv.read(spark, path)
+    else:
+        table = spark.read.csv(path, header=True, escape='"', enforceSchema=False, inferSchema=False)
     return s.conform(table, s.strings(s.EXPLOIT_FIELDS)).fillna("")
 
 
