@@ -6,6 +6,7 @@ Extra columns are dropped.  An empty table passes through.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cveflow.llm import exact_dedup, near_dups, packing, pii
@@ -15,25 +16,30 @@ from cveflow.scratch import stored
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the ids in ``gone``; documents with a null id stay."""
-    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
-
-
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learnt from ``labels``, doesn't call toxic."""
-    scored = toxic.toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return without(docs, scored.where("predicted = 1 and doc_id is not null"))
+    """Documents that the classifier, learnt from ``labels``, doesn't call toxic; each row by its own text, whatever its id."""
+    model = toxic.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxic.score(docs, model, COLUMNS).where(F.col("score") < toxic.THRESHOLD).select(*COLUMNS)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal up to white space, the document with the smallest id."""
-    return without(docs, exact_dedup.exact_groups(docs).where(~F.col("kept")))
+    """Of texts that are equal up to white space, the document with the smallest id; without any id in the group, all rows.
+
+    A row goes by its id and its text, so another text under the same id stays, and a copy without an id goes.
+    """
+    gone = exact_dedup.exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("id"), "text_sha256").distinct()
+    own = F.sha2(exact_dedup.normalized(F.coalesce("text", F.lit(""))), 256)
+    keyed = docs.select(*COLUMNS, own.alias("own"))
+    return keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["id"]) & (keyed["own"] == gone["text_sha256"]), "left_anti").select(*COLUMNS)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by similar shingles, the one with the smallest id."""
-    return without(docs, near_dups.near_duplicates(docs).where(~F.col("kept")))
+    """Of each group of documents linked by similar shingles, the one with the smallest id.
+
+    A row goes by its id; rows without one are linked with nothing and stay.
+    """
+    gone = near_dups.near_duplicates(docs).where(~F.col("kept"))
+    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +51,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Batch and place of every document."""
-    return packing.pack_documents(docs)
+    """Batch and place of every document, lengths in tokens."""
+    return packing.pack_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES = [

@@ -13,7 +13,7 @@ Without both classes among the labels every score is the share of label 1 (0 wit
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -172,20 +172,21 @@ def score_texts(batch: list[str], weights: np.ndarray, squares: np.ndarray, bias
     return 1 / (1 + np.exp(-np.clip(np.bincount(text, weights[feature], len(batch)) / norm + bias, -50, 50)))
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataFrame:
-    """``doc_id, score`` of every document, higher where label 1 is likelier."""
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Columns ``carry`` and ``score`` of every document, higher where label 1 is likelier; nothing is shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast((model[0].tobytes(), model[1].tobytes(), model[2]))
+    names = [*carry, "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, squares = (np.frombuffer(b, np.float32) for b in shared.value[:2])
         for whole in batches:
             for batch in slices(whole):
-                scores = score_texts(batch.column("text").to_pylist(), weights, squares, shared.value[2])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
+                scores = score_texts([t or "" for t in batch.column("text").to_pylist()], weights, squares, shared.value[2])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), pa.array(scores)], names)
 
-    rows = texts(docs)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, score double")
+    rows = docs.select(*carry, *([] if "text" in carry else ["text"]))
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in carry)
+    return rows.mapInArrow(run, f"{schema}, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

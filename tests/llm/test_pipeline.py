@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import public_tokenizers
 import pytest
+import sentencepiece
 
 import corpus_pipeline
 from cveflow.llm import packing, toxicity
@@ -65,14 +69,39 @@ def test_personal_data_is_replaced(results):
             assert not _base(a[1]) and a[4] == len(a[1]) and "[" in a[1]
 
 
-def test_all_documents_are_packed(results):
+def test_all_documents_are_packed_by_tokens(results):
     before, after = results["packing"]
     rows = after.collect()
     assert sorted(r.doc_id for r in rows) == sorted(r[0] for r in _rows(before))
     texts = {r[0]: r[1] for r in _rows(before)}
-    assert all(r.n_tokens == len(texts[r.doc_id].split()) <= r.bucket_tokens for r in rows if texts[r.doc_id].isascii())
-    chosen = packing.limits([(n, 1) for n in (r.n_tokens for r in rows) if n <= packing.LONGEST], packing.BUCKETS)
-    assert len({r.bucket_tokens for r in rows if r.n_tokens <= packing.LONGEST}) <= len(chosen) or chosen
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    assert all(r.n_tokens == len(model.encode(texts[r.doc_id] or "")) + 1 <= r.bucket_tokens for r in rows)
+    batches = Counter()
+    for r in rows:
+        batches[r.batch_id] += r.bucket_tokens
+    longest = Counter({r.batch_id: r.n_tokens for r in rows})
+    assert all(n <= packing.BUDGET or n == longest[b] for b, n in batches.items())
+
+
+def test_rows_go_by_their_own_text(spark, sf_dir, results):
+    """Repeated ids with other texts, and rows without an id."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    gone = toxicity.toxicity(docs, labels).where("predicted = 1").select("doc_id")
+    bad = [r.text for r in docs.join(gone, "doc_id").limit(2).collect()]
+    plain = docs.join(gone, "doc_id", "left_anti").where("length(text) > 300")
+    clean = [r.text for r in plain.dropDuplicates(["text"]).orderBy("doc_id").limit(3).collect()]
+    more = [(900_001, bad[0]), (900_001, clean[0] + " one"), (None, bad[1]), (None, clean[1] + " two"), (900_002, clean[2]), (900_002, clean[2] + " three"), (None, clean[2])]
+    odd = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in more], docs.schema)
+    kept = corpus_pipeline.without_toxic(spark, docs.unionByName(odd), sf_dir)
+    assert sorted((r[1] for r in _extra(kept)), key=str) == sorted([clean[0] + " one", clean[1] + " two", clean[2], clean[2] + " three", clean[2]])
+    kept = corpus_pipeline.without_copies(spark, kept, sf_dir)
+    # the given document with the smaller id stays of the three equal ones
+    assert sorted((r[1] for r in _extra(kept)), key=str) == sorted([clean[0] + " one", clean[1] + " two", clean[2] + " three"])
+
+
+def _extra(df):
+    return [r for r in map(tuple, df.collect()) if r[0] is None or r[0] > 900_000]
 
 
 def test_odd_and_empty_tables(spark, sf_dir, odd, none):
