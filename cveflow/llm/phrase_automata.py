@@ -29,7 +29,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cveflow.llm.arrow import ranges
 from cveflow.llm.frames import attach
 from cveflow.llm.tokens import distinct, lowered, parts, runs
 from cveflow.scratch import stored
@@ -63,12 +62,15 @@ class Automaton:
     @classmethod
     def sorted(cls, words: Sequence[bytes], paths: np.ndarray, weights: np.ndarray) -> Automaton:
         """From paths in any order; the weights of equal ones are summed."""
-        order = np.lexsort(_keys(paths)[::-1])
-        paths, weights = paths[order], weights[order]
-        first = np.ones(len(paths), bool)
-        first[1:] = (paths[1:] != paths[:-1]).any(1)
+        keys = _keys(paths, len(words))
+        order = np.lexsort(keys[::-1])
+        first = np.zeros(len(paths), bool)
+        first[:1] = True
+        for key in keys:
+            key = key[order]
+            first[1:] |= key[1:] != key[:-1]
         at = np.flatnonzero(first)
-        return cls(words, paths[at], np.add.reduceat(weights, at) if len(at) else weights)
+        return cls(words, paths[order[at]], np.add.reduceat(weights[order], at) if len(at) else weights)
 
     def states(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per depth: the path at which each state is first reached, and the number of the state its arc comes from."""
@@ -117,15 +119,25 @@ class Automaton:
         ends = np.cumsum(arrays[0]).tolist()
         text = arrays[1].astype(np.uint8).tobytes()
         words = [text[a:b] for a, b in zip([0, *ends], ends)]
-        paths, found, weights = np.zeros((1, width), np.int32), [], []
+        labels, children, weights = (arrays[2 + k :: 3] for k in range(3))
+        above = [np.repeat(np.arange(len(c)), c) for c in children]
+        # paths below each state, itself included, from the deepest on; then the place of each state's own path
+        below = [(w > 0).astype(np.int64) for w in weights]
+        for k in range(width - 1, 0, -1):
+            below[k - 1] += np.bincount(above[k], below[k], len(below[k - 1])).astype(np.int64)
+        paths = np.zeros((int(below[0].sum()), width), np.int32)
+        found = np.zeros(len(paths), np.int64)
+        so_far, start = np.zeros((1, 0), np.int32), np.zeros(1, np.int64)
         for k in range(width):
-            labels, children, weight = arrays[2 + 3 * k : 5 + 3 * k]
-            paths = np.repeat(paths, children, axis=0)
-            paths[:, k] = labels
-            last = weight > 0
-            found.append(paths[last])
-            weights.append(weight[last])
-        return cls.sorted(words, np.concatenate(found), np.concatenate(weights))
+            so_far = np.concatenate([so_far[above[k]], labels[k][:, None].astype(np.int32)], 1)
+            earlier = np.cumsum(below[k]) - below[k]
+            eldest = np.cumsum(children[k]) - children[k]
+            own = (weights[k - 1] > 0) if k else np.zeros(1, bool)
+            start = (start + own)[above[k]] + earlier - earlier[eldest[above[k]]]
+            last = weights[k] > 0
+            paths[start[last], : k + 1] = so_far[last]
+            found[start[last]] = weights[k][last]
+        return cls(words, paths, found)
 
     def place(self, path: Sequence[bytes]) -> int:
         """How many paths come before ``path``."""
@@ -142,11 +154,17 @@ class Automaton:
         return [self.words[k - 1] for k in path if k]
 
 
-def _keys(paths: np.ndarray) -> list[np.ndarray]:
-    """Two columns of a path a key, so fewer keys are sorted by."""
-    width = paths.shape[1]
-    wide = paths.astype(np.int64)
-    return [wide[:, k] << 32 | wide[:, k + 1] if k + 1 < width else wide[:, k] for k in range(0, width, 2)]
+def _keys(paths: np.ndarray, words: int) -> list[np.ndarray]:
+    """Several columns of a path a key, so fewer keys are sorted by."""
+    bits = 21 if words < (1 << 21) - 1 else 31
+    step = 63 // bits
+    out = []
+    for k in range(0, paths.shape[1], step):
+        key = paths[:, k].astype(np.int64)
+        for j in range(k + 1, min(k + step, paths.shape[1])):
+            key = key << bits | paths[:, j]
+        out.append(key)
+    return out
 
 
 def united(automata: Sequence[Automaton]) -> Automaton:
@@ -178,7 +196,10 @@ def _of_slice(data: np.ndarray, at: np.ndarray, group: np.ndarray, longest: int)
     named = np.repeat(group, counts)
     for g in np.unique(named).tolist():
         mine = paths[named == g]
-        yield g, Automaton.sorted(words, mine, np.ones(len(mine), np.int64))
+        used = np.zeros(len(words) + 1, bool)
+        used[mine[:, 0]] = True
+        renamed = np.where(used, np.cumsum(used), 0).astype(np.int32)
+        yield g, Automaton.sorted([words[k - 1] for k in np.flatnonzero(used).tolist()], renamed[mine], np.ones(len(mine), np.int64))
 
 
 SHARDS = "lang string, n bigint, offered array<array<binary>>, shard binary"
