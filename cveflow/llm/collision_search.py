@@ -7,17 +7,20 @@ rehashing: radius R stands for windows of ``WIDTH`` * R - until the k-th best ve
 within R.  At that radius a vector at distance R is in each window with a chance of 0.84, so nearly none is
 missed, whatever the block holds; no count of candidates ends the search.
 
-Every query is searched in every block, block by block of ``QUERY_BLOCK`` queries; the k best of
+Every query is searched in every block, which is indexed once while the queries pass by, ``QUERY_BLOCK`` at a time; the k best of
 all blocks are its result.  Of equal vectors only the k + 1 smallest ids can be in any result, so only
 those are indexed.
 
 Vectors that are null, empty or zero, or hold a null or a component that isn't finite, take no part, nor
 do rows with a null id; only vectors of the same length are compared.  Ties go to the smaller id.  Rows that share an id are
-one candidate if they are equal vectors.  An empty table gives an empty result.
+one candidate, and one query, whose distances are the least of any of their vectors.  Components may be as large as doubles get.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -31,6 +34,8 @@ WIDTH = 2.781
 GROWTH = 1.25
 BLOCK = 20_000
 QUERY_BLOCK = 2_000
+#: Components from here on are not projected, as their squares may overflow.
+LARGE = 1e150
 
 
 def usable(vector: Column) -> Column:
@@ -39,12 +44,33 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances; those whose squares overflow are scaled first."""
+    with np.errstate(over="ignore"):
+        near = np.sqrt(((vectors - query) ** 2).sum(1))
+        for k in np.flatnonzero(~np.isfinite(near)):
+            half = vectors[k] / 2 - query / 2
+            scale = np.abs(half).max()
+            near[k] = 2 * (scale * np.sqrt(((half / scale) ** 2).sum()))
+    return near
+
+
+def _top(ids: np.ndarray, near: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` nearest ids, each at its least distance."""
+    order = np.lexsort((ids, near))
+    _, first = np.unique(ids[order], return_index=True)
+    return order[np.sort(first)[:k]]
+
+
 class Block:
-    """Sorted projections of the vectors of one block."""
+    """Sorted projections of the vectors of one block; those too large to square are kept apart and always verified."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
+        large = np.abs(vectors[order]).max(1) > LARGE
+        self.far_ids, self.far = ids[order][large], vectors[order][large]
+        self.ids, self.vectors = ids[order][~large], vectors[order][~large]
+        ids, vectors = self.ids, self.vectors
         self.axes = np.random.default_rng(17).normal(size=(PROJECTIONS, vectors.shape[1]))
         values = self.axes @ self.vectors.T
         self.order = np.argsort(values, axis=1, kind="stable")
@@ -55,14 +81,26 @@ class Block:
         apart = np.sqrt(((probe[:, None] - self.vectors[None, :: max(1, len(ids) // 512)]) ** 2).sum(2))
         self.least = max(float(apart[apart > 0].min(initial=np.inf)) / 4, 1e-9) if (apart > 0).any() else 1e-9
 
+    def _all(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """For a query too large to project: every vector is verified."""
+        ids = np.concatenate((self.ids, self.far_ids))
+        near = distances(np.concatenate((self.vectors, self.far)), query)
+        ids, near = ids[ids != own], near[ids != own]
+        top = _top(ids, near, k)
+        return ids[top], near[top]
+
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and distances of the nearest found, ``own`` left out."""
         n = len(self.ids)
+        if n == 0 or np.abs(query).max() > LARGE:
+            return self._all(query, own, k)
         center = self.axes @ query
         low = np.array([np.searchsorted(v, c) for v, c in zip(self.values, center)])
         high = low.copy()
         counts, checked = np.zeros(n, np.int64), self.ids == own
-        best, near = np.zeros(0, np.int64), np.zeros(0)
+        other = np.flatnonzero(self.far_ids != own)
+        ids, best = np.concatenate((self.ids, self.far_ids)), n + other
+        near = distances(self.far[other], query)
         radius = self.least
         while True:
             half = WIDTH * radius / 2
@@ -74,11 +112,11 @@ class Block:
             found = np.flatnonzero((counts >= COLLISIONS) & ~checked)
             checked[found] = True
             best = np.concatenate((best, found))
-            near = np.concatenate((near, np.sqrt(((self.vectors[found] - query) ** 2).sum(1))))
-            top = np.lexsort((self.ids[best], near))[:k]
+            near = np.concatenate((near, distances(self.vectors[found], query)))
+            top = _top(ids[best], near, k)
             best, near = best[top], near[top]
             if checked.all() or (len(best) == k and near[-1] <= radius):
-                return self.ids[best], near
+                return ids[best], near
             radius *= GROWTH
 
 
@@ -95,25 +133,44 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec
     points = rows.groupBy("vector", "vec_id").agg(F.first("dim").alias("dim"))
     points = stored(points.withColumn("place", F.row_number().over(copies)).where(F.col("place") <= k + 1).select("vec_id", "vector", "dim"), "points")
     asked = stored(rows.where("asks").groupBy("vec_id", "vector").agg(F.first("dim").alias("dim")), "queries")
-    n_blocks, n_parts = 1 + points.count() // BLOCK, 1 + asked.count() // QUERY_BLOCK
-    blocks = points.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks))).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
-    parts = asked.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(n_parts)).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))))
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[tuple] = []
-        if left.num_rows and right.num_rows:
-            points, asks = (t.combine_chunks().to_batches()[0] for t in (left, right))
-            block = Block(np.asarray(points.column("vec_id")), _vectors(points.column("vector")))
-            for own, query in zip(asks.column("vec_id").to_pylist(), _vectors(asks.column("vector"))):
-                ids, near = block.search(query, own, k)
-                found.extend((own, i, d) for i, d in zip(ids.tolist(), near.tolist()))
-        columns = list(zip(*found)) or [(), (), ()]
-        return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
-
-    key = ["block", "part", "dim"]
-    each = blocks.groupBy(*key).cogroup(parts.groupBy(*key)).applyInArrow(search, "query_id bigint, vec_id bigint, score double")
+    n_blocks = 1 + points.count() // BLOCK
+    shape = ["block", "dim", "asks", "vec_id", "vector"]
+    block = F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int")
+    # every query meets every block; no vector is copied
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).withColumn("asks", F.lit(True))
+    both = points.withColumn("block", block).withColumn("asks", F.lit(False)).select(*shape).unionByName(asked.select(*shape))
+    dealt = both.repartitionById(n_blocks, "block").sortWithinPartitions("block", "dim", "asks", "vec_id")
+    each = dealt.mapInArrow(_searched(k), "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return each.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+    least = each.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    return least.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _searched(k: int):
+    """Each block is indexed once, when its vectors have been read; its queries follow and pass by in batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, waiting, index = None, [], None
+        for batch in batches:
+            block, dim, asks = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            new = np.ones(len(block), bool)
+            new[1:] = (block[1:] != block[:-1]) | (dim[1:] != dim[:-1]) | (asks[1:] != asks[:-1])
+            first = np.flatnonzero(new).tolist()
+            for a, b in zip(first, [*first[1:], len(block)]):
+                if (block[a], dim[a]) != last:
+                    last, waiting, index = (block[a], dim[a]), [], None
+                part = batch.slice(a, b - a)
+                if not asks[a]:
+                    waiting.append((np.asarray(part.column(3)), _vectors(part.column(4))))
+                    continue
+                if waiting:
+                    index = Block(*(np.concatenate(c) for c in zip(*waiting)))
+                    waiting = []
+                for at in range(0, b - a if index else 0, QUERY_BLOCK):
+                    some = part.slice(at, QUERY_BLOCK)
+                    found = [(own, i, d) for own, query in zip(some.column(3).to_pylist(), _vectors(some.column(4)))
+                             for i, d in zip(*map(np.ndarray.tolist, index.search(query, own, k)))]
+                    columns = list(zip(*found)) or [(), (), ()]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score"])
+    return run

@@ -27,10 +27,11 @@ TABLE = 1 << 15
 PIECE_CHARS = 32
 #: Items a sketch tracks; counts are off by at most about 3.5 / TRACKED of all pieces.
 TRACKED = 1 << 16
-#: Sketches are merged in this many groups first.
+#: Sketches that are merged at a time.
 MERGES = 32
-#: Pieces a worker remembers before it starts anew from the table.
+#: Pieces a worker remembers before it starts anew from the table, and their longest text.
 CACHE = 400_000
+CACHED_CHARS = 64
 
 _BORDER = re.compile(r" (?=[\w!-~])")
 _state: dict = {}
@@ -40,15 +41,20 @@ def frequent_pieces(text: DataFrame, table: int = TABLE, tracked: int = TRACKED)
     """At most ``table`` frequent pieces of the corpus, from one pass over all of it."""
     piece = F.explode(F.split("text", r" (?=[\p{L}\p{N}!-~])")).alias("piece")
     pieces = text.select(piece).where((F.length("piece").between(1, PIECE_CHARS)) & ~F.contains("piece", F.lit("\n")))
-    parts = pieces.groupBy((F.spark_partition_id() % MERGES).alias("part")).agg(
+    parts = pieces.groupBy(F.spark_partition_id().alias("part")).agg(
         F.expr(f"approx_top_k_accumulate(piece, {tracked})").alias("sketch"))
+    # a tree: no task merges more than MERGES sketches, however many there are
+    n = text.rdd.getNumPartitions()
+    while n > MERGES:
+        n = -(-n // MERGES)
+        parts = parts.groupBy((F.col("part") % n).alias("part")).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
     # grouped, as a task without sketches must not send an empty one
     top = parts.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {table})").alias("top"))
     return [r.piece for r in top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("piece")).collect() if r.piece]
 
 
 class Lengths(dict):
-    """Tokens per piece behind a space; starts from the frequent ones, encodes what it doesn't know."""
+    """Tokens per piece behind a space; starts from the frequent ones, encodes what it doesn't know and remembers it if it isn't long."""
 
     def __init__(self, encode, frequent: list[str], lengths: bytes, limit: int):
         super().__init__(zip(frequent, lengths))
@@ -56,6 +62,8 @@ class Lengths(dict):
 
     def __missing__(self, piece: str) -> int:
         count = self.encode(" " + piece)
+        if len(piece) > CACHED_CHARS:
+            return count
         if len(self) >= self.limit:
             self.clear()
             self.update(self.frequent)

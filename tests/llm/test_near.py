@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -184,3 +185,39 @@ def test_copies_ties_and_unusable_vectors(spark):
     assert found == {0: [(1, 0.0), (2, 0.0), (3, 0.0)], 50: [(0, 0.0), (1, 0.0), (2, 0.0)], 100: [(0, 0.5), (1, 0.5), (2, 0.5)]}
     assert collision_search.nearest(table.limit(0), F.lit(True)).count() == 0
     assert len(collision_search.nearest(table.where("vec_id < 3"), F.lit(True)).collect()) == 6
+
+
+def _least_distances(rows, asks, k):
+    """Brute force: per query id and candidate id the least distance of any two of their vectors."""
+    out = []
+    for q in sorted({i for i, _ in rows if asks(i)}):
+        near = {}
+        for i, v in rows:
+            if i != q:
+                d = min(math.dist(v, w) for j, w in rows if j == q)
+                near[i] = min(d, near.get(i, math.inf))
+        out += [(q, n, i, d) for n, (d, i) in enumerate(sorted((d, i) for i, d in near.items())[:k], 1)]
+    return out
+
+
+def test_large_components_and_repeated_ids(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(40)]
+    rows += [(3, [0.5, 0.5, 0.1, 0.0]), (20, [9.0, 9.0, 9.0, 9.0]), (7, [-0.5, 0.2, 0.1, 0.0])]
+    rows += [(41, [1e308, -1e308, 0.0, 0.0]), (42, [1e308, 1e308, 1.0, 1.0]), (50, [1e200, 0.0, 0.0, 0.0]), (60, [5e307, 1.0, 1.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    for block in (20_000, 9):
+        monkeypatch.setattr(collision_search, "BLOCK", block)
+        got = sorted(map(tuple, collision_search.nearest(table, F.col("vec_id") % 10 == 0).collect()))
+        want = _least_distances(rows, lambda i: i % 10 == 0, 10)
+        assert [g[:3] for g in got] == [w[:3] for w in want]
+        assert all(g[3] == pytest.approx(w[3], rel=1e-12) for g, w in zip(got, want))
+
+
+def test_vectors_are_not_copied_for_queries(spark, monkeypatch):
+    monkeypatch.setattr(collision_search, "BLOCK", 10)
+    monkeypatch.setattr(collision_search, "QUERY_BLOCK", 2)
+    table = spark.range(200).select(F.col("id").alias("vec_id"), F.array(*[F.rand(n) for n in range(3)]).alias("embedding"))
+    plan = collision_search.nearest(table, F.col("vec_id") % 10 == 0)._jdf.queryExecution().optimizedPlan().toString()
+    # only the queries are exploded over the blocks
+    assert plan.count("Generate") == 1 and "cogroup" not in plan.lower()

@@ -90,3 +90,15 @@ def test_empty_tables(none):
 def test_queries(spark, sf_dir):
     assert queries.op1_piece_codec(spark, sf_dir).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert queries.op7_token_counts(spark, sf_dir).where("over_limit <> (n_tokens > 512)").count() == 0
+
+
+def test_sketches_are_merged_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "MERGES", 2)
+    table = spark.range(0, 600, 1, 9).selectExpr("id as doc_id", "concat('the of w', id % 7, ' of the') as text")
+    assert {"the", "of"} <= set(token_counts.frequent_pieces(table, 64, 1 << 10))
+
+
+def test_long_pieces_are_not_remembered():
+    lengths = token_counts.Lengths(len, ["the"], bytes([1]), 50)
+    assert lengths["x" * 1000] == 1001 and lengths["ab"] == 3
+    assert set(lengths) == {"the", "ab"}
