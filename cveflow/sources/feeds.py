@@ -69,18 +69,30 @@ def read_kev(spark: SparkSession, path: str | list[str], *, lines: bool = False)
 
 
 def read_epss(
-    spark: SparkSession, path: str | list[str], *, as_of: dt.date | str | None = None, dated: bool = False
+    spark: SparkSession, path: str | list[str], *, as_of: dt.date | str | None = None, dated: bool = False, split: bool = False
 ) -> DataFrame:
-    """Score files (plain or gzip CSV): a comment line with the score date, a header, the rows.
+    """Score files (plain or compressed CSV): a comment line with the score date, a header, the rows.
 
-    With ``dated`` the files lie in folders ``date=YYYY-MM-DD`` and are read once, the folder giving the date.
-    Otherwise each file is read a second time for its comment, whose date is put on its rows, and
-    ``as_of`` where there is none.
+    With ``dated`` the files lie in folders ``date=YYYY-MM-DD``, and the folder gives the date.  Otherwise a file is one row of text first, so its
+    comment and its rows are read together, in one scan; the comment's date is put on its rows, and ``as_of`` where there is none.  A
+    file is then read by one task, which suits files of a day.  ``split`` is for plain files too large for that: many tasks read one, and
+    a second scan finds the comments.
     """
     names = ("cve", "epss", "percentile")
+    fallback = F.lit(str(v.as_date(as_of)) if as_of is not None else None).cast("string")
     if dated:
         columns = s.strings((*names, "date"))
         return spark.read.csv(path, schema=columns, header=True, comment="#").select(*names, "date")
+    if not split:
+        files = spark.read.text(path, wholetext=True)
+        comments = F.regexp_extract_all("value", F.lit(r"(?m)^#.*?score_date:(\d{4}-\d{2}-\d{2})"), F.lit(1))
+        lines = F.filter(F.split("value", "\r?\n|\r"), lambda line: ~line.startswith("#") & (F.trim(line) != ""))
+        rows = files.select(F.coalesce(F.array_max(comments), fallback).alias("date"), F.posexplode(lines).alias("line", "value"))
+        schema = s.strings(names).simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+        fields = rows.select("date", "line", F.from_csv("value", schema, {"mode": "PERMISSIVE"}).alias("row"))
+        header = F.array(*[F.lower(F.trim(F.col("row")[n])) for n in names]) == F.array(*map(F.lit, names))
+        wrong = F.raise_error(F.concat(F.lit("not the columns cve, epss, percentile: "), F.to_json("row"))).cast("boolean")
+        return fields.where(F.when(F.col("line") > 0, True).when(header, False).otherwise(wrong)).select("row.*", "date")
     file = F.col("_metadata.file_path").alias("_file")
     rows = spark.read.csv(
         path, schema=s.strings(names), header=True, comment="#", enforceSchema=False
@@ -93,7 +105,6 @@ def read_epss(
         .groupBy("_file")
         .agg(F.max(found).alias("date"))
     )
-    fallback = F.lit(str(v.as_date(as_of)) if as_of is not None else None).cast("string")
     return rows.join(dates, "_file", "left").select(
         *names, F.coalesce("date", fallback).alias("date")
     )

@@ -131,3 +131,26 @@ def test_a_file_with_another_header_fails(spark, tmp_path):
     (tmp_path / "b.csv").write_text("file,id\nx,1\n")
     with pytest.raises(Exception, match="other columns"):
         quoted_csv.read(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_undated_score_files(spark, tmp_path, split):
+    import gzip
+
+    head = "#model_version:v1,score_date:{}T00:00:00+0000\ncve,epss,percentile\n"
+    with gzip.open(tmp_path / "a.csv.gz", "wt") as f:
+        f.write(head.format("2024-05-01") + "CVE-2024-0001,0.1,0.5\nCVE-2024-0002,,\n")
+    (tmp_path / "b.csv").write_text(head.format("2024-05-02").replace("\n", "\r\n") + 'CVE-2024-0001,"0.2",0.6\r\n\r\n')
+    (tmp_path / "c.csv").write_text("cve,epss,percentile\nCVE-2024-0003,0.3,0.7")
+    (tmp_path / "d.csv").write_text("#score_date:none\ncve,epss,percentile\n")
+    got = feeds.read_epss(spark, str(tmp_path), as_of="2024-06-01", split=split)
+    assert got.columns == ["cve", "epss", "percentile", "date"]
+    assert sorted(map(tuple, got.collect()), key=str) == [
+        ("CVE-2024-0001", "0.1", "0.5", "2024-05-01"), ("CVE-2024-0001", "0.2", "0.6", "2024-05-02"),
+        ("CVE-2024-0002", None, None, "2024-05-01"), ("CVE-2024-0003", "0.3", "0.7", "2024-06-01")]
+    if not split:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Python" not in plan
+        (tmp_path / "e.csv").write_text("cve,percentile,epss\nCVE-2024-0003,0.3,0.7")
+        with pytest.raises(Exception, match="not the columns"):
+            feeds.read_epss(spark, str(tmp_path)).collect()
