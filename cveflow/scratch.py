@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[str] = []
+_NAME = re.compile(r"-[0-9a-f]{32}$")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,3 +40,16 @@ def clear(spark: SparkSession) -> None:
     while _made:
         path = jvm.org.apache.hadoop.fs.Path(_made.pop())
         path.getFileSystem(conf).delete(path, True)
+
+
+def sweep(spark: SparkSession, hours: float = 48) -> int:
+    """Delete intermediate tables of any run that are older than ``hours``, as runs that were killed leave theirs; returns how many."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    home = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    fs = home.getFileSystem(conf)
+    oldest = time.time() * 1000 - hours * 3_600_000
+    old = [s.getPath() for s in (fs.listStatus(home) if fs.exists(home) else [])
+           if s.isDirectory() and _NAME.search(s.getPath().getName()) and s.getModificationTime() < oldest]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import csv
+import gzip
 import io
+import os
 import random
 
 import pytest
 from pyspark.sql import Window, functions as F
 
-from cveflow import feeds
+from cveflow import feeds, scratch
 from cveflow.operators import dedup
 from cveflow.plans import readiness, sketches, trend_state, trends
 from cveflow.sources import quoted_csv
@@ -135,8 +137,6 @@ def test_a_file_with_another_header_fails(spark, tmp_path):
 
 @pytest.mark.parametrize("split", [False, True])
 def test_undated_score_files(spark, tmp_path, split):
-    import gzip
-
     head = "#model_version:v1,score_date:{}T00:00:00+0000\ncve,epss,percentile\n"
     with gzip.open(tmp_path / "a.csv.gz", "wt") as f:
         f.write(head.format("2024-05-01") + "CVE-2024-0001,0.1,0.5\nCVE-2024-0002,,\n")
@@ -154,3 +154,13 @@ def test_undated_score_files(spark, tmp_path, split):
         (tmp_path / "e.csv").write_text("cve,percentile,epss\nCVE-2024-0003,0.3,0.7")
         with pytest.raises(Exception, match="not the columns"):
             feeds.read_epss(spark, str(tmp_path)).collect()
+
+
+def test_old_intermediate_tables_are_swept(spark):
+    kept = scratch.stored(spark.range(3), "kept")
+    other, old = f"{scratch.shared_dir(spark)}/not-one-of-ours", scratch.fresh_path(spark, "old")
+    for path in (other, old):
+        spark.range(2).write.mode("overwrite").parquet(path)
+        os.utime(path.removeprefix("file:"), (1, 1))
+    assert scratch.sweep(spark, hours=1) == 1
+    assert kept.count() == 3 and spark.read.parquet(other).count() == 2 and not os.path.exists(old.removeprefix("file:"))
