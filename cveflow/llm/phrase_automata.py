@@ -40,7 +40,7 @@ RANGE = 1 << 20
 #: Prefix ranges at most, and sampled paths for each of them.
 RANGES = 1 << 20
 SAMPLED = 8
-#: Paths a shard offers for the sample.
+#: Paths a full shard offers for the sample.
 OFFERED = 64
 
 _APART = np.zeros(256, bool)
@@ -207,7 +207,8 @@ SHARDS = "lang string, n bigint, offered array<array<binary>>, shard binary"
 
 def _shards(longest: int, limit: int):
     def row(lang: str, automaton: Automaton) -> tuple:
-        step = -(-len(automaton.paths) // OFFERED)
+        # each offered path stands for as many, whatever shard it is from
+        step = -(-limit // OFFERED)
         offered = [automaton.spelled(p) for p in automaton.paths[step // 2 :: step].tolist()]
         return lang, len(automaton.paths), offered, automaton.pack()
 
@@ -300,10 +301,10 @@ def counts(docs: DataFrame, at_least: int, longest: int = LONGEST, shard: int =
     """``lang, words, phrase, f`` of all phrases of at most ``longest`` words that occur ``at_least`` times; the empty phrase counts all words."""
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     shards = stored(rows.mapInArrow(_shards(longest, shard), SHARDS), "shards")
-    total, stored_shards = (int(x or 0) for x in shards.agg(F.sum("n"), F.count("*")).first())
+    total, paths = (int(x or 0) for x in shards.agg(F.sum("n"), F.sum(F.size("offered"))).first())
     n = min(-(-total // size), RANGES) or 1
     # at most about SAMPLED * RANGES paths come to the driver
-    share = min(1.0, 2.0 * SAMPLED * n / max(OFFERED * stored_shards, 1))
+    share = min(1.0, 2.0 * SAMPLED * n / max(paths, 1))
     offered = shards.select("lang", F.explode("offered").alias("path")) if n > 1 else None
     offered = offered.where(F.pmod(F.xxhash64("lang", "path"), F.lit(1 << 30)) < share * (1 << 30)) if n > 1 else None
     sample = [(r.lang, tuple(map(bytes, r.path))) for r in offered.toLocalIterator()] if n > 1 else []
