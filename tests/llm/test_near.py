@@ -91,12 +91,82 @@ def test_every_pair_survives_blocks_without_stars(spark, texts, monkeypatch):
 
     def first_gives_none(pairs, profiles, threshold):
         calls.append(1)
-        return verified(pairs, profiles, threshold).where(F.lit(len(calls) > 2))
+        return verified(pairs, profiles, threshold).where(F.lit(False))
 
     monkeypatch.setattr(near_dups, "_verified", first_gives_none)
     found = near_dups.near_duplicates(make(spark, texts), 0.85)
     assert sorted(tuple(r) for r in found.collect()) == _brute(list(enumerate(texts)), 85)
-    assert len(calls) == 3
+    assert len(calls) == 2
+
+
+def _pages(p):
+    """``p * p`` pages of one template with five fields of ``p`` values; any two pages agree in one field at most.
+
+    A field breaks 5 of 195 shingles, so two pages have a similarity of 170 / 220 or 175 / 215, and all share what others have.
+    """
+    out = []
+    for a in range(p):
+        for b in range(p):
+            page = [f"t{i}" for i in range(199)]
+            for j in range(5):
+                page[20 + 35 * j] = f"f{j}v{(a + j * b) % p}"
+            out.append(" ".join(page))
+    return out
+
+
+def test_pages_of_one_template_give_no_pairs(spark, monkeypatch):
+    """Pages just below the threshold, nearly all of whose pairs survive their signatures."""
+    rows = _pages(13) + _copies(random.Random(4), 40, 120, 3)
+    verified, blocks, sizes = near_dups._verified, near_dups._block_pairs, []
+
+    def counted(pairs, profiles, threshold):
+        sizes.append(pairs.count())
+        return verified(pairs, profiles, threshold)
+
+    def counted_blocks(members, n_bands, threshold, step):
+        if step == "verify":
+            sizes.append(members.count())
+        return blocks(members, n_bands, threshold, step)
+
+    monkeypatch.setattr(near_dups, "_verified", counted)
+    monkeypatch.setattr(near_dups, "_block_pairs", counted_blocks)
+    monkeypatch.setattr(near_dups, "BLOCK", 64)
+    found = near_dups.near_duplicates(make(spark, rows), 0.85)
+    assert sorted(tuple(r) for r in found.collect()) == _brute(list(enumerate(rows)), 85)
+    stars, best, flagged = sizes
+    # 14,196 pairs of pages; no step has more rows than members, which are in at most as many buckets as there are bands
+    assert stars <= len(rows) and best <= len(rows) and 13 * 13 < flagged <= near_dups.bands(0.85) * len(rows)
+
+
+def test_sets_travel_once_a_block_not_once_a_pair(spark, texts, monkeypatch):
+    plans = []
+    blocks = near_dups._block_pairs
+
+    def planned(members, n_bands, threshold, step):
+        out = blocks(members, n_bands, threshold, step)
+        plans.append((step, members.columns, out._jdf.queryExecution().optimizedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(near_dups, "_block_pairs", planned)
+    near_dups.near_duplicates(make(spark, texts), 0.85).count()
+    assert [p[0] for p in plans] == ["best", "flag", "verify"]
+    assert ["hashes" in p[1] for p in plans] == [False, False, True]
+    # members are exploded over the blocks of their bucket, and sets come in by one join on the member
+    assert plans[2][2].count("Generate") == 1
+
+
+def test_repeated_ids_with_other_texts(spark):
+    """Rows of one id with different texts are each linked by their own."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    near = lambda t: t.rsplit(" ", 1)[0] + " other"
+    rows = [(5, one), (5, two), (3, near(one)), (9, near(two)), (5, three), (7, near(three)), (2, "alone with a few words"), (5, one), (None, one)]
+    for order in (rows, rows[::-1]):
+        table = spark.createDataFrame(order, "doc_id bigint, text string")
+        found = near_dups.near_duplicates(table.withColumn("mark", F.substring("text", 1, 1)), 0.85, carry=("mark",)).collect()
+        assert sorted((r.doc_id, r.mark, r.component_id, r.kept) for r in found if r.doc_id is not None) == sorted([
+            (5, "a", 3, False), (5, "a", 3, False), (3, "a", 3, True), (5, "b", 5, True), (9, "b", 5, False), (5, "c", 5, True), (7, "c", 5, False),
+            (2, "a", 2, True)])
+        assert [(r.component_id, r.kept) for r in found if r.doc_id is None] == [(None, True)]
 
 
 def test_near_duplicates_of_odd_rows(odd, none):
