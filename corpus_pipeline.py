@@ -36,10 +36,12 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by similar shingles, the one with the smallest id.
 
-    A row goes by its id; rows without one are linked with nothing and stay.
+    A row goes by its id and its text, so another text under the same id stays; rows without an id are linked with nothing and stay.
     """
-    gone = near_dups.near_duplicates(docs).where(~F.col("kept"))
-    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
+    own = F.sha2(F.coalesce("text", F.lit("")), 256).alias("own")
+    keyed = docs.select(*COLUMNS, own)
+    gone = near_dups.near_duplicates(keyed, carry=("own",)).where(~F.col("kept")).select("doc_id", "own").distinct()
+    return keyed.join(gone, ["doc_id", "own"], "left_anti").select(*COLUMNS)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
