@@ -115,3 +115,13 @@ def test_odd_and_empty_tables(spark, sf_dir, odd, none):
 
 def test_run_ends_with_the_last_stage(spark, sf_dir, results):
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(map(tuple, results["packing"][1].collect()))
+
+
+def test_near_copies_go_by_their_own_text(spark, sf_dir, odd, none):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(3, one + " x"), (5, one), (5, two), (9, two + " y"), (None, one)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], none.select(*corpus_pipeline.COLUMNS).schema)
+    kept = corpus_pipeline.without_near_copies(spark, docs, sf_dir)
+    assert sorted(((r.doc_id or 0, r.text) for r in kept.collect())) == sorted([(3, one + " x"), (5, two), (0, one)])
+    assert 0 < corpus_pipeline.without_near_copies(spark, odd, sf_dir).count() < odd.count()
+    assert corpus_pipeline.without_near_copies(spark, none, sf_dir).count() == 0
