@@ -95,10 +95,48 @@ def test_queries(spark, sf_dir):
 def test_sketches_are_merged_in_a_tree(spark, monkeypatch):
     monkeypatch.setattr(token_counts, "MERGES", 2)
     table = spark.range(0, 600, 1, 9).selectExpr("id as doc_id", "concat('the of w', id % 7, ' of the') as text")
-    assert {"the", "of"} <= set(token_counts.frequent_pieces(table, 64, 1 << 10))
+    assert {"the", " the", " of"} <= set(token_counts.frequent_pieces(table, 64, 1 << 10))
 
 
 def test_long_pieces_are_not_remembered():
     lengths = token_counts.Lengths(len, ["the"], bytes([1]), 50)
-    assert lengths["x" * 1000] == 1001 and lengths["ab"] == 3
+    assert lengths["x" * 1000] == 1000 and lengths["ab"] == 2
     assert set(lengths) == {"the", "ab"}
+
+
+def test_every_character_is_split_as_the_library_splits():
+    with open(BYTES, "rb") as file:
+        encode = token_counts._encoder(file.read())
+    lengths = token_counts.Lengths(encode, [], b"", 1000)
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and not 0xAC00 < c < 0xD7A3 and not 0x20000 < c < 0x2A000]
+    # each between letters, digits, signs and spaces
+    texts = ["".join(f"a{c}1{c}!{c} {c}" for c in chars[i : i + 8]) for i in range(0, len(chars), 8)]
+    texts = [t for t in texts if token_counts.known(t)] + [t for t in texts if not token_counts.known(t)][::40]
+    assert token_counts.count_texts(texts, lengths, None) == [encode(t) for t in texts]
+
+
+def test_unknown_characters_are_left_to_the_library():
+    with open(BYTES, "rb") as file:
+        encode = token_counts._encoder(file.read())
+    lengths = token_counts.Lengths(encode, [], b"", 1000)
+    unknown = [chr(c) for c in (0x378, 0x558, 0xA7CE, 0x10940, 0x323B0, 0x3D000, 0xE0080)]
+    texts = [f"a{c}b 1{c}2 !{c}{c}x" for c in unknown]
+    assert token_counts.count_texts(texts, lengths, None) == [encode(t) for t in texts]
+    assert all(token_counts.known(p) for p in lengths)
+
+
+def test_texts_without_spaces_go_through_the_table():
+    seen = []
+    lengths = token_counts.Lengths(lambda piece: seen.append(piece) or 1, [], b"", 1000)
+    assert token_counts.count_texts(["word,next(12)\nword,next(12)"], lengths, None) == [13]
+    assert sorted(seen) == sorted(["word", ",", "next", "(", "12", ")", "\n"])
+
+
+def test_stretches_of_long_texts(monkeypatch):
+    with open(BYTES, "rb") as file:
+        encode = token_counts._encoder(file.read())
+    rng = random.Random(11)
+    texts = ["".join(rng.choices([*PARTS, "don't", " x", "   ", "\u0378", "!?"], k=rng.randrange(200))) for _ in range(500)]
+    monkeypatch.setattr(token_counts, "STRETCH", 7)
+    assert all("".join(token_counts.stretches(t)) == t for t in texts)
+    assert token_counts.count_texts(texts, token_counts.Lengths(encode, [], b"", 1000), None) == [encode(t) for t in texts]
