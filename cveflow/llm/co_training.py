@@ -12,7 +12,8 @@ features whose tasks return counts of bounded size.  Of the labelled documents a
 
 Nulls: a null text counts as empty, a null source or language is a bin of its own; labels that are
 null or not 0 or 1, or have a null id, are ignored.  Without both labels every score is 0.5 and all
-documents stay.
+documents stay.  Every row is scored by itself, so equal texts with equal metadata score the same; a score of
+exactly ``KEEP`` stays.  A very long text is read whole, a set of at most 2^BITS trigrams.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

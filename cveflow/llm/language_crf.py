@@ -8,10 +8,13 @@ text too; a document's language has the highest mean probability.
 The fit uses the words of at most about ``FIT`` documents of each language, chosen by a hash of the id.  Every language
 has the same share of ``FIT_WORDS``, taken in the order of another hash; a document gives at most a ``FIT_PARTS``-th of
 it, in segments spread over its text.  As the documents are mostly in one language, every fourth training segment is
-spliced from two documents, which teaches the transitions that a text may switch.
+spliced from two documents, which teaches the transitions that a text may switch.  The ``LANGS`` languages of most
+documents are learnt; with more than ``FIT_CELLS / FIT_WORDS`` of them, fewer words of each, so a fit has a bounded size.
 
 Nulls: a text that is null or has no letter is ``und`` with score 0; documents without id or language
-are not learnt from.  Without any language to learn everything is ``und``.
+are not learnt from.  Without any language to learn everything is ``und``.  Every row is named by its own text, so repeated
+ids and rows give a row each.  Ties: of equally likely languages the first by name.  A very long text is read whole,
+``CELLS`` probabilities at a time.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +34,9 @@ from cveflow.llm.frames import held_out, texts
 FIT = 300
 FIT_WORDS = 1_000_000
 FIT_PARTS = 50
+#: Languages that are learnt (those of most documents, then by name), and words times languages of a fit.
+LANGS = 64
+FIT_CELLS = 16_000_000
 SEGMENT = 64
 BITS = 18
 ORDERS = (2, 3, 4)
@@ -38,8 +44,9 @@ ROUNDS = 30
 STEP = 0.1
 DECAY = 1e-6
 UNKNOWN = "und"
-#: Words whose scores a worker remembers before it starts anew.
-CACHE = 300_000
+#: Words times languages whose scores a worker remembers before it starts anew, and that it works on at once, about.
+CACHE = 5_000_000
+CELLS = 4_000_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _state: dict = {}
@@ -220,16 +227,34 @@ class Scores(dict):
 
     def label(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Language probabilities of the words of all texts, and how many words each text has."""
-        if len(self) > CACHE:
+        word, sizes = self.numbers(batch)
+        return forward_backward(self.table[word], *segments(sizes), self.crf.first, self.crf.move)[0], sizes
+
+    def judge(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Summed language probabilities of all texts, the likeliest language of each of their words, and how many words each text has."""
+        word, sizes = self.numbers(batch)
+        start, size = segments(sizes)
+        owner = np.repeat(np.arange(len(batch)), -(-sizes // SEGMENT))
+        total, best = np.zeros((len(batch), len(self.crf.langs))), np.zeros(len(word), np.int64)
+        step = max(1, CELLS // (SEGMENT * len(self.crf.langs)))
+        for i in range(0, len(start), step):
+            begin, long = start[i : i + step], size[i : i + step]
+            a, b = begin[0], begin[-1] + long[-1]
+            seen = forward_backward(self.table[word[a:b]], begin - a, long, self.crf.first, self.crf.move)[0]
+            best[a:b] = seen.argmax(1)
+            np.add.at(total, owner[i : i + step], summed(seen, long))
+        return total, best, sizes
+
+    def numbers(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of all texts, and how many words each text has."""
+        if len(self) * len(self.crf.langs) > CACHE:
             self.reset()
         numbers = [np.fromiter(map(self.__getitem__, found), np.int64, len(found)) for found in map(words, batch)]
         if self.pending:
             features, counts = word_features(self.pending)
             self.table = np.concatenate((self.table, summed(self.crf.weights[features].astype(np.float64), counts)))
             self.pending = []
-        sizes = np.array([len(n) for n in numbers])
-        emission = self.table[np.concatenate(numbers)]
-        return forward_backward(emission, *segments(sizes), self.crf.first, self.crf.move)[0], sizes
+        return np.concatenate(numbers), np.array([len(n) for n in numbers])
 
 
 def spread(found: list[str], most: int) -> list[str]:
@@ -246,14 +271,15 @@ def train(docs: DataFrame, lang_col: str = "lang") -> Crf | None:
     """A field fitted in one task on the bounded sample; none if there is nothing to learn."""
     seen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col(lang_col).alias("lang"))
     seen = seen.where(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    total = {r.lang: r["count"] for r in seen.groupBy("lang").count().collect()}
+    most = seen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS)
+    total = {r.lang: r["count"] for r in most.collect()}
     if not total:
         return None
     langs = sorted(total)
     part = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000))
     share = F.create_map(*[F.lit(x) for lang, n in total.items() for x in (lang, 1 + int(1_000_000 * min(1.0, FIT / n)))])
-    sample = seen.where(part < share[F.col("lang")]).select(F.xxhash64("doc_id", F.lit("order")).alias("place"), "lang", "text")
-    own = max(SEGMENT, FIT_WORDS // len(langs))
+    sample = seen.where(F.col("lang").isin(langs) & (part < share[F.col("lang")])).select(F.xxhash64("doc_id", F.lit("order")).alias("place"), "lang", "text")
+    own = max(SEGMENT, min(FIT_WORDS, FIT_CELLS // len(langs)) // len(langs))
     most = max(SEGMENT, own // FIT_PARTS)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,13 +317,12 @@ def identify(docs: DataFrame, crf: Crf | None) -> DataFrame:
         langs = [*shared.value[0], UNKNOWN]
         for whole in batches:
             for batch in slices(whole):
-                seen, sizes = _state[key].label(batch.column("text").to_pylist())
+                sums, word, sizes = _state[key].judge(batch.column("text").to_pylist())
                 some = sizes > 0
                 best, score, switches = np.full(len(sizes), len(langs) - 1), np.zeros(len(sizes)), np.zeros(len(sizes), np.int64)
                 if some.any():
-                    mean = summed(seen, sizes[some]) / sizes[some][:, None]
+                    mean = sums[some] / sizes[some][:, None]
                     best[some], score[some] = mean.argmax(1), np.minimum(mean.max(1), 1.0)
-                    word = seen.argmax(1)
                     change = np.append(0, word[1:] != word[:-1])
                     change[(np.cumsum(sizes) - sizes)[some]] = 0
                     switches[some] = summed(change, sizes[some])

@@ -9,7 +9,7 @@ at a space mark; no piece has one behind another character, so words can't affec
 Workers remember the ids of words they have met, up to ``CACHE`` words.
 
 Nulls: a null text counts as empty and encodes to the end id; null ids decode to an empty text.  Texts without spaces are
-one long word.  An empty table gives an empty result.
+one long word.  Every row is coded by itself, so repeated ids and rows give a row each.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ about ``FIT`` labelled rows of each class and, for each class, half of ``FIT_FEA
 the id: documents of about 3,200 different n-grams fill that with about 2,500 of a class.  Scoring reads every whole text.
 
 Nulls: a null text counts as empty, which scores the prior; rows of labels with a null id or label are ignored.
-Without both classes among the labels every score is the share of label 1 (0 without labels).
+Without both classes among the labels every score is the share of label 1 (0 without labels).  Repeated ids: every row is
+scored by its own text; the fit takes the smallest text of an id, and one of its labels.  Equal texts score the same, however
+often they occur.  A very long text is scored whole, a set of at most 2^20 features.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cveflow.llm.arrow import lists, offsets, slices
 from cveflow.llm.frames import held_out, texts
+from cveflow.scratch import stored
 
 #: Labelled rows of each class that a fit uses, about, and features of all those rows together.
 FIT = 6000
@@ -105,7 +108,18 @@ def _labelled(docs: DataFrame, labels: DataFrame, label_col: str) -> tuple[DataF
     chosen = F.lit(False)
     for k, p in share.items():
         chosen = chosen | ((F.col("label") == k) & (part < int(1_000_000 * p) + 1))
-    return seen.where(chosen).dropDuplicates(["doc_id"]), total
+    return seen.where(chosen).groupBy("doc_id").agg(F.min("label").alias("label")), total
+
+
+def _fitting(sizes: list, room: int) -> dict[int, int]:
+    """The last ``part`` of each class, in their order, with which its features are within ``room``."""
+    last, left = {}, {}
+    for r in sorted(sizes, key=lambda r: r.part):
+        # a class ends with the first document that doesn't fit, so that short ones aren't preferred
+        left[r.label] = left.get(r.label, room) - r.n
+        if left[r.label] >= 0:
+            last[r.label] = r.part
+    return last
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray, float]:
@@ -124,18 +138,12 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tuple
                     ["part", "label", "features"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, label, room = [], [], {0: half, 1: half}
+        rows, label = [], []
         for batch in batches:
             at, column = offsets(batch.column("features")), batch.column("features")
             values = np.asarray(column.values)
-            for y, a, b in zip(batch.column("label").to_pylist(), at[:-1], at[1:]):
-                # a class ends with the first document that doesn't fit, so that short ones aren't preferred
-                if b - a > room[y]:
-                    room[y] = -1
-                else:
-                    rows.append(values[a:b].copy())
-                    label.append(y)
-                    room[y] -= b - a
+            rows += [values[a:b].copy() for a, b in zip(at[:-1], at[1:])]
+            label += batch.column("label").to_pylist()
         label = np.array(label)
         if len(set(label)) < 2:
             return
@@ -143,10 +151,16 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tuple
         model = [weights.tobytes(), squares.tobytes(), np.float64(bias).tobytes()]
         yield pa.RecordBatch.from_arrays([pa.array([0, 1, 2]), pa.array(model, pa.binary())], ["part", "data"])
 
-    # at most about 2 * FIT ids
-    rows = texts(docs).join(F.broadcast(sample), "doc_id").select(F.xxhash64("doc_id").alias("part"), "label", "text")
+    # at most about 2 * FIT ids, a text each
+    rows = texts(docs).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    rows = stored(rows.select(F.xxhash64("doc_id").alias("part"), "label", "text"), "labelled")
     found = rows.mapInArrow(extract, "part bigint, label int, features array<int>")
-    model = found.repartition(1).sortWithinPartitions("part").mapInArrow(learn, "part bigint, data binary").collect()
+    last = _fitting(found.select("part", "label", F.size("features").alias("n")).collect(), half)
+    fits = F.lit(False)
+    for k, part in last.items():
+        fits = fits | ((F.col("label") == k) & (F.col("part") <= part))
+    # cut before the shuffle, so the one task reads at most FIT_FEATURES
+    model = rows.where(fits).mapInArrow(extract, found.schema).repartition(1).sortWithinPartitions("part").mapInArrow(learn, "part bigint, data binary").collect()
     if not model:
         share = rows.agg(F.coalesce(F.avg("label"), F.lit(0.0))).first()[0]
         none = np.zeros(1 << BITS, np.float32)

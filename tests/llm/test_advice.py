@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
+from pyspark.sql import Row
 
 from cveflow.llm import language_crf, packing, pii, queries, toxicity
 from odd_tables import make
@@ -94,3 +96,47 @@ def test_each_class_has_half_of_the_features(spark, monkeypatch):
     weights, squares, bias = toxicity.train(docs, labels)
     vile, plain = toxicity.score_texts(["vile curse", "other words"], weights, squares, bias)
     assert vile > plain
+
+
+def test_features_are_cut_before_the_one_task():
+    sizes = [Row(part=p, label=y, n=n) for p, y, n in ((5, 0, 40), (-3, 0, 50), (7, 0, 20), (9, 0, 1), (1, 1, 200), (2, 1, 1))]
+    # class 0 ends at part 7, where 110 are over the room; the first document of class 1 is too large for it
+    assert toxicity._fitting(sizes, 100) == {0: 5}
+    assert toxicity._fitting(sizes, 110) == {0: 7} and toxicity._fitting(sizes, 201) == {0: 9, 1: 2}
+
+
+def test_repeated_ids_give_the_fit_one_text(spark):
+    rows = [(i, "vile curse you" if i % 2 else "fine words here") for i in range(200)]
+    docs = spark.createDataFrame(rows + [(1, "vile curse you")] * 300 + [(0, "fine words here")] * 10, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] * 2, "doc_id bigint, toxic int")
+    plain = toxicity.train(spark.createDataFrame(rows, "doc_id bigint, text string"), labels.distinct())
+    for a, b in zip(plain, toxicity.train(docs, labels)):
+        # totals of the classes count labels, which are doubled alike
+        assert np.array_equal(a, b)
+    assert toxicity.toxicity(docs, labels).count() == 510
+
+
+def test_more_languages_than_are_learnt(spark, monkeypatch):
+    monkeypatch.setattr(language_crf, "LANGS", 2)
+    texts = {"aa": "kalo mira tensu", "bb": "wyxi qozz fruh", "cc": "plim dront gesk"}
+    rows = [(i, " ".join([texts[lang]] * 9), lang) for i, lang in enumerate(["aa"] * 40 + ["bb"] * 30 + ["cc"] * 20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    crf = language_crf.train(docs)
+    assert crf.langs == ["aa", "bb"]
+    found = language_crf.identify(docs, crf).collect()
+    assert len(found) == 90 and all(r.lang_pred == rows[r.doc_id][2] for r in found if r.doc_id < 70)
+    assert {r.lang_pred for r in found} == {"aa", "bb"}
+
+
+def test_long_texts_are_judged_in_parts(monkeypatch):
+    rng = random.Random(4)
+    docs = [([rng.choice(["el", "los", "uno"] if y else ["the", "one", "and"]) for _ in range(150)], y) for y in (0, 1) * 20]
+    crf = language_crf.Crf.fit(["en", "es"], docs)
+    batch = ["the one and el los uno " * 300, "", "el", "the and " * 70]
+    seen, sizes = language_crf.Scores(crf).label(batch)
+    owner = np.repeat(np.arange(4), sizes)
+    want = [np.bincount(owner, seen[:, k], 4) for k in (0, 1)]
+    for cells in (1, 300, 1 << 20):
+        monkeypatch.setattr(language_crf, "CELLS", cells)
+        total, best, some = language_crf.Scores(crf).judge(batch)
+        assert np.allclose(total.T, want) and np.array_equal(best, seen.argmax(1)) and np.array_equal(some, sizes)
