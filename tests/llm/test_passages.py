@@ -6,6 +6,7 @@ import hashlib
 import heapq
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import duckdb
@@ -88,6 +89,47 @@ def test_buckets_are_refined_to_equal_strings():
         assert suffix_buckets.repeated(data, at, span).tolist() == want
 
 
+def _held(step, batch):
+    """MB of arrays that a step holds at most while it works on a batch, and its rows."""
+    suffix_buckets._powers.clear()
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in step(iter([batch])))
+    held = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return held, rows
+
+
+def test_workers_hold_a_piece_and_not_a_batch():
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(97, 123, 2000, dtype=np.uint8).tobytes().decode() for _ in range(2500)]
+    batch = pa.RecordBatch.from_arrays([pa.array([b"%d" % i for i in range(2500)]), pa.array(texts)], names=["key", "text"])
+    held, rows = _held(suffix_buckets._anchor_rows(400, 100), batch)
+    assert rows > 2500 and held < 40
+    wanted = pa.array([[{"low": k, "high": k + 300, "bucket": k, "region": i, "weight": 1} for k in (0, 500, 1000)] for i in range(2500)])
+    bodies = suffix_buckets._bodies(400, 100)
+    cut = pa.RecordBatch.from_arrays([batch.column(1), wanted], names=["text", "wanted"])
+    held, rows = _held(bodies, cut)
+    assert rows == 7500 and held < 40
+    items = pa.Table.from_batches(list(bodies(iter([cut])))).combine_chunks().to_batches()[0]
+    held, rows = _held(suffix_buckets._dealt(400), items)
+    assert rows > 7500 and held < 40
+    # buckets of three regions, then one bucket of as many regions as a task may get
+    columns = items.select(["region", "weight", "body"]).columns
+    for bucket, rows, limit in ((np.arange(7500) // 3, 7500, 40), (np.zeros(suffix_buckets.CROWD, np.int64), suffix_buckets.CROWD, 150)):
+        part = pa.RecordBatch.from_arrays([pa.array(bucket), *(c.slice(0, rows) for c in columns)], names=["bucket", "region", "weight", "body"])
+        assert _held(suffix_buckets._refined(400), part)[0] < limit
+
+
+def test_repeats_in_a_text_longer_than_a_piece(spark):
+    rng = random.Random(9)
+    own = "".join(rng.choices("abcdefgh", k=suffix_buckets.PIECE + 5000))
+    edge = own[suffix_buckets.PIECE - 700 : suffix_buckets.PIECE + 900]
+    texts = [own, "x" + edge + own[:450], own[1000:1500] + "é" + own[-399:], own[3000:3399]]
+    want = sorted(((i, *w) for i, w in enumerate(_without_repeats(texts, 400))), key=repr)
+    assert [w[2] for w in want] == [1600 + 450 + 500, 1600 + 450, 500, 0]
+    assert _cut(make(spark, texts)) == want
+
+
 def test_repeats_of_odd_and_empty_tables(spark, odd, none):
     rows = odd.select("doc_id", "text").collect()
     want = sorted(((r.doc_id, *w) for r, w in zip(rows, _without_repeats([r.text for r in rows], 400))), key=repr)
