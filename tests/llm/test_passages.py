@@ -65,6 +65,35 @@ def test_repeats_of_documents_equal_brute_force(spark, docs, sf_dir):
     assert sorted((tuple(r) for r in queries.op11_suffix_dedup(spark, sf_dir).collect()), key=repr) == want
 
 
+def test_texts_and_spans_that_are_left_equal_brute_force(spark, passages):
+    two = passages[-5]  # this and another passage, each beside other neighbours
+    passages = [*passages, "e" + two[:45] + "fé" + "gh" * 30, "i" + "gh" * 30 + "è" + two[5:60] + "k", "m" + two[:60] + "n" + "gh" * 30]
+    texts = [(t or "").encode() for t in passages]
+    seen = Counter(t[i : i + 40] for t in texts for i in range(len(t) - 39))
+    want = {}
+    for i, t in enumerate(texts):
+        gone = {k + j for k in range(len(t) - 39) if seen[t[k : k + 40]] > 1 for j in range(40)}
+        starts, ends = (sorted(k + at for k in gone if k + step not in gone) for step, at in ((-1, 0), (1, 1)))
+        want[i] = bytes(b for k, b in enumerate(t) if k not in gone), list(zip(starts, ends))
+    cut = suffix_buckets.cut_repeats(make(spark, passages).repartition(3), span=40, gram=12)
+    assert {r.doc_id: (bytes(r.kept), [tuple(s) for s in r.spans]) for r in cut.collect()} == want
+    assert sum(len(spans) > 1 for _, spans in want.values()) > 0 and any(b"\xa4" in kept for kept, _ in want.values())
+
+
+def test_passages_of_many_words_go_by_their_bytes(spark):
+    """57 words of 399 bytes hold no string of 400 bytes; with one byte more they go, and ``n_bytes`` is the length of the text either way."""
+    rng = random.Random(10)
+    own = ["".join(rng.choices("abcdefgh", k=900)) for _ in range(4)]
+    passage = " ".join("".join(rng.choices("rstuvwxyz", k=6)) for _ in range(59))
+    short, full = passage[:399], passage[:400]
+    assert len(short.split()) > 50 and len(full) == 400
+    texts = [f"{own[0]}1{short}2", f"{own[1]}3{short}4", own[2] + "5" + full[::-1] + "6", own[3] + "7" + full[::-1] + "8"]
+    rows = {r.doc_id: r for r in suffix_buckets.cut_repeats(make(spark, texts)).collect()}
+    assert [bytes(rows[i].kept).decode() for i in range(4)] == [*texts[:2], own[2] + "56", own[3] + "78"]
+    assert [[tuple(s) for s in rows[i].spans] for i in range(4)] == [[], [], [(901, 1301)], [(901, 1301)]]
+    assert [(r[1], r[2], r[3]) for r in _cut(make(spark, texts))] == [(1301, 0, 0), (1301, 0, 0), (1302, 400, 1), (1302, 400, 1)]
+
+
 def test_long_texts_are_read_in_pieces(spark, passages, monkeypatch):
     monkeypatch.setattr(suffix_buckets, "PIECE", 64)
     for text in (passages[0], "xy" * 200, "x" * 300):
