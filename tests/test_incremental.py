@@ -128,6 +128,58 @@ def test_quoted_newlines_are_read_in_splits(spark, tmp_path, split):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def shuffled_rows(df):
+    """Rows written to shuffles by the plan of a frame that was collected."""
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if kind == "ShuffleExchangeExec":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        todo += [node.children().apply(n) for n in range(node.children().size())]
+    return total
+
+
+def test_quoted_newlines_stay_where_they_are_read(spark, tmp_path):
+    rows = [[str(n), f'say "{n}",\n\nthen {n}'] for n in range(3000)]
+    with open(tmp_path / "a.csv", "w") as f:
+        csv.writer(f, lineterminator="\n", quoting=csv.QUOTE_ALL).writerows([["id", "text"], *rows])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 10_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        read = quoted_csv.read(spark, str(tmp_path))
+        assert sorted(map(list, read.collect())) == sorted(rows)
+        assert shuffled_rows(read) < 300
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("batch", [1, 2, 7])
+def test_quoted_records_that_span_batches(spark, tmp_path, batch):
+    rng, want = random.Random(batch), []
+    for name in ("a", "b", "c"):
+        records = ["".join(rng.choice(["x", ",", '"\n"', '""', '"\n\n\ny"']) for _ in range(rng.randrange(12))) for _ in range(60)]
+        records += ['open "x', "", "y,z"] if name == "c" else []
+        (tmp_path / f"{name}.csv").write_text("".join(r + "\n" for r in records))
+        if name == "c":
+            records[-3:] = ["\n".join(records[-3:])]
+        want += [(f"{name}.csv", n, r) for n, r in enumerate(records)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = quoted_csv.records(spark, str(tmp_path)).collect()
+    finally:
+        for key in ("files.maxPartitionBytes", "files.openCostInBytes", "execution.arrow.maxRecordsPerBatch"):
+            spark.conf.unset(f"spark.sql.{key}")
+    assert sorted((r.file.rpartition("/")[2], r.number, r.value) for r in got) == want
+
+
 def test_a_file_with_another_header_fails(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,file\n1,"x\ny"\n')
     (tmp_path / "b.csv").write_text("file,id\nx,1\n")
